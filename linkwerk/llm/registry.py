@@ -5,7 +5,10 @@ from __future__ import annotations
 import importlib
 
 _QUERIES = {
+    "op2_simhash_dedup": "simhash_dedup",
     "op5_doubling_dedup": "doubling_dedup",
+    "op9_bwt_dedup": "bwt_dedup",
+    "op10_class_lm": "class_lm",
 }
 
 
