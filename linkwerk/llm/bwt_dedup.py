@@ -93,7 +93,7 @@ def boundaries(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
             break
         first = forward[np.maximum(turn[r], lo[which])]
         final = forward[np.minimum(run_end[r], hi[which])]
-        if len(r) > len(lo):
+        if (which[1:] == which[:-1]).any():
             by = np.argsort(which * 256 + sym, kind="stable")
             first, final = first[by], final[by]
             head = np.r_[True, np.diff((which * 256 + sym)[by]) != 0]
@@ -301,11 +301,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
 
     n_bytes = sh.text_bytes(df, text)
     n_buckets = sh.bucket_count(n_bytes / 100)
-    n_piles = sh.part_count(2 * n_bytes, 2 * sh.PART_BYTES)
+    n_piles = sh.part_count(2 * n_bytes, sh.PART_BYTES)
     parts = sh.in_parts(df, id_col, text, sh.part_count(n_bytes, part_bytes)).groupBy("part")
     told = sh.answers(parts.applyInArrow(_asker(length, gram, n_buckets), sh.REQUEST))
     pieces = parts.cogroup(told.groupBy("part")).applyInArrow(_sender(length, gram, n_buckets, n_piles), PIECES)
-    runs = pieces.groupBy("bucket").applyInArrow(_pile(length), RUNS)
+    runs = pieces.repartition(n_piles, "bucket").groupBy("bucket").applyInArrow(_pile(length), RUNS)
     none = F.lit(None).cast("binary")
     replies = told.select("part", "level", "bucket", "bits", none.alias("place"), none.alias("start"), none.alias("stop")).unionByName(runs)
     return parts.cogroup(replies.groupBy("part")).applyInArrow(_finisher(length, gram, n_buckets, with_text), RESULT)
