@@ -7,6 +7,8 @@ import importlib
 _QUERIES = {
     "op2_simhash_dedup": "simhash_dedup",
     "op5_doubling_dedup": "doubling_dedup",
+    "op6_secret_scan": "secret_scan",
+    "op7_source_mixing": "source_mixing",
     "op9_bwt_dedup": "bwt_dedup",
     "op10_class_lm": "class_lm",
 }
