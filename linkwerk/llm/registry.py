@@ -9,6 +9,7 @@ _QUERIES = {
     "op5_doubling_dedup": "doubling_dedup",
     "op6_secret_scan": "secret_scan",
     "op7_source_mixing": "source_mixing",
+    "op8_decontamination": "decontamination",
     "op9_bwt_dedup": "bwt_dedup",
     "op10_class_lm": "class_lm",
 }
