@@ -6,6 +6,7 @@ import importlib
 
 _QUERIES = {
     "op2_simhash_dedup": "simhash_dedup",
+    "op4_quality_divergence": "quality_divergence",
     "op5_doubling_dedup": "doubling_dedup",
     "op6_secret_scan": "secret_scan",
     "op7_source_mixing": "source_mixing",
