@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _QUERIES = {
+    "op1_license_scan": "license_scan",
     "op2_simhash_dedup": "simhash_dedup",
     "op4_quality_divergence": "quality_divergence",
     "op5_doubling_dedup": "doubling_dedup",
