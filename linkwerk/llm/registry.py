@@ -7,6 +7,7 @@ import importlib
 _QUERIES = {
     "op1_license_scan": "license_scan",
     "op2_simhash_dedup": "simhash_dedup",
+    "op3_url_trust": "url_trust",
     "op4_quality_divergence": "quality_divergence",
     "op5_doubling_dedup": "doubling_dedup",
     "op6_secret_scan": "secret_scan",
