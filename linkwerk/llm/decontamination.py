@@ -237,6 +237,11 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
     return own.where(F.size("__items") > 0).select("doc_id", F.size("__items").cast("long").alias("n_items"), F.concat_ws(",", F.col("__items").cast("array<string>")).alias("item_ids"))
 
 
+def clean(df: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``df`` that hold no test item."""
+    return with_items(df, items).where(F.size("__items") == 0).drop("__items")
+
+
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` against all ``benchmark`` items."""
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

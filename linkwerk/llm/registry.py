@@ -23,7 +23,9 @@ def _module(name: str):
 
 
 def queries() -> dict:
-    return {name: getattr(_module(name), name) for name in _QUERIES}
+    import corpus_pipeline
+
+    return {**{name: getattr(_module(name), name) for name in _QUERIES}, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

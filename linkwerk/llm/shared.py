@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,17 +30,25 @@ BUCKET_HASHES = 2_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and cut from its lineage by a checkpoint in the shared folder.
-
-    The folder is spark.checkpoint.dir; where that is unset (tests), a temporary one.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir; where that is unset (tests), a temporary folder."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="linkwerk-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkwerk-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and cut from its lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path for a table in the shared folder, new at each call. It goes with that folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for the row."""
     return F.transform(F.array(value), body)[0]
@@ -168,7 +177,3 @@ def bits_of(replies, level: int, hashes: np.ndarray, n_buckets: int) -> np.ndarr
         if lv == level:
             out[edges[b] : edges[b + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=edges[b + 1] - edges[b]).astype(bool)
     return out
-
-
-def session(df: DataFrame) -> SparkSession:
-    return df.sparkSession

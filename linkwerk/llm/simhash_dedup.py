@@ -13,6 +13,14 @@ all of its neighbours; the links' connected components are the groups.
 
 Exact copies share a fingerprint and are one node however many there are.
 
+``keep_one`` is the stage for training data: near duplicates are texts whose
+sets of five-word shingles have a Jaccard similarity of 0.8 or more. At that
+similarity fingerprints differ by about 10 bits and blocks of bits no longer
+cut the work, so there a shard is the texts that share one of ``KEYS`` minimum
+shingle hashes (a similar pair shares none with a probability of 0.2 ** KEYS),
+the trees are searched to ``WIDE`` bits (a pair at 0.8 is further apart with
+one of about 0.0002), and every link is verified on the shingle sets.
+
 Defined results: null or wordless text has fingerprint zero and is linked like
 any other; component_id is the smallest non-null doc_id reachable (null if
 there is none); a repeated row is returned as often as it occurs; an empty
@@ -37,25 +45,39 @@ KEEP = BLOCKS - RADIUS
 #: Fingerprints in one tree, at most about.
 SHARD = 4096
 _CHUNK = 1 << 16
+SIMILAR, WORDS = 0.8, 5
+KEYS, WIDE = 5, 20
+_TURNS = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) | 1 for k in range(KEYS)], np.uint64)
 
 
-def fingerprint(text: bytes, size: int = SHINGLE) -> int:
-    """SimHash of the shingles of the lower-cased words, repeats included."""
+def shingle_hashes(text: bytes, size: int):
+    """XXH64 of each shingle of the lower-cased words, repeats included, in arrays of bounded size."""
     from xxhash import xxh64_intdigest as digest
 
     words = text.lower().split()
     if not words:
-        return 0
+        return
     n = max(1, len(words) - size + 1)
     shingles = map(b" ".join, zip(*(islice(words, k, None) for k in range(size)), strict=False)) if len(words) >= size else iter([b" ".join(words)])
-    votes = np.zeros(64, np.int64)
     for at in range(0, n, _CHUNK):
         m = min(_CHUNK, n - at)
-        h = np.fromiter((digest(s, 42) for s in islice(shingles, m)), np.dtype("<u8"), m)
-        votes += np.unpackbits(h.view(np.uint8).reshape(m, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        yield np.fromiter((digest(s, 42) for s in islice(shingles, m)), np.dtype("<u8"), m)
+
+
+def majority(hashes) -> int:
+    """The bits that are set in over half of all hashes."""
+    votes, n = np.zeros(64, np.int64), 0
+    for h in hashes:
+        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(h)
     return sum(1 << k for k in np.flatnonzero(2 * votes > n).tolist())
 
 
+def fingerprint(text: bytes, size: int = SHINGLE) -> int:
+    """SimHash of the shingles; 0 without words."""
+    return majority(shingle_hashes(text, size))
+
+
 def _prints(batches):
     import pyarrow as pa
 
@@ -173,6 +195,92 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     return named.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _sketches(with_sets: bool):
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            keys, prints, sets = [], [], []
+            for x in b.column("body"):
+                hashes = list(shingle_hashes(x.as_py() or b"", WORDS))
+                every = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
+                keys.append([int((every * t).min().view(np.int64)) for t in _TURNS] if len(every) else [])
+                prints.append(majority(hashes))
+                if with_sets:
+                    sets.append(np.unique(every.astype(np.uint32)).tobytes())
+            fp = pa.array(np.array(prints, np.uint64).view(np.int64), pa.int64())
+            rest, names = ([pa.array(sets, pa.binary())], ["shingles"]) if with_sets else ([], [])
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(keys, pa.list_(pa.int64())), fp, *rest], ["node", "keys", "fp", *names])
+
+    return run
+
+
+def _verified(batches):
+    """As _links, with a set of shingles for each fingerprint; a link needs ``SIMILAR`` of the sets."""
+    import pyarrow as pa
+
+    own, tree, held, up, mask = None, BKTree(), {}, {}, (1 << 64) - 1
+
+    def root(x):
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    for b in batches:
+        a, z = [], []
+        for *at, guest, node, fp, packed in zip(*(b.column(c).to_pylist() for c in ("choice", "key", "tree", "guest", "node", "fp", "shingles")), strict=True):
+            if at != own:
+                own, tree, held, up = at, BKTree(), {}, {}
+            fp, mine, done = fp & mask, set(np.frombuffer(packed, np.uint32).tolist()), set()
+            for print_ in tree.near(fp, WIDE):
+                for other, theirs in held[print_]:
+                    r = root(other)
+                    few, many = sorted((len(mine), len(theirs)))
+                    if r in done or few < SIMILAR * many:
+                        continue
+                    if (both := len(mine & theirs)) >= SIMILAR * (few + many - both):
+                        done.add(r)
+                        a.append(node)
+                        z.append(r)
+            if not guest:
+                for r in done:
+                    up[r] = node
+                if fp not in held:
+                    tree.add(fp)
+                held.setdefault(fp, []).append((node, mine))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["a", "b"])
+
+
+def similar_links(texts: DataFrame, shard: int = SHARD // 4) -> DataFrame:
+    """(a, b): links between the nodes of (node, body) that are similar, enough to join every group."""
+    small = texts.mapInArrow(_sketches(False), "node long, keys array<long>, fp long").dropDuplicates(["node"])
+    keyed = sh.cut(small.select("node", F.posexplode("keys").alias("choice", "key")))
+    full = keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
+    mates = keyed.join(full, ["choice", "key"])
+    wanted = mates.select("node").distinct()
+    sets = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).mapInArrow(_sketches(True), "node long, keys array<long>, fp long, shingles binary").drop("keys")
+    trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
+    homes = mates.withColumn("home", F.pmod(F.xxhash64("node", "choice"), trees).cast("int")).select("choice", "key", "node", "home", F.explode(F.sequence("home", trees - 1)).alias("tree"))
+    rows = homes.join(sets, "node").withColumn("guest", F.col("tree") > F.col("home"))
+    return rows.repartition("choice", "key", "tree").sortWithinPartitions("choice", "key", "tree", "guest", "node").mapInArrow(_verified, "a long, b long")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one row of each group of near duplicates: that of the smallest id (nulls last).
+
+    Rows equal in id and text are one document, of which any row stays.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    node = F.xxhash64(body)
+    roots = components(similar_links(df.select(node.alias("node"), body.cast("binary").alias("body"))))
+    own = df.select(node.alias("node"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), node.alias("node")).alias("who"))
+    best = own.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select(F.col("who.id").alias("__id"), F.col("who.node").alias("__own"))
+    named = df.withColumn("__node", node)
+    kept = named.join(best, (named["__node"] == best["__own"]) & named[id_col].eqNullSafe(best["__id"]), "left_semi")
+    return kept.dropDuplicates(["__node", id_col]).drop("__node")
+
+
 def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: fingerprints of ``documents`` linked at 3 bits."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
