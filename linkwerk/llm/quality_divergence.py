@@ -111,8 +111,8 @@ def _shares(f: Column) -> tuple[Column, Column]:
 
 def references(df: DataFrame, f: Column, lang: Column) -> dict[str, tuple[list[float], list[float]]]:
     """Mean histograms of each language of COMMON that has documents with words."""
-    chars, words = _shares(f)
-    own = df.where(lang.isin(list(COMMON)) & (f["n_words"] > 0)).select(lang.alias("lang"), F.posexplode(F.concat(chars, words)).alias("k", "p"))
+    shares = sh.let(f, lambda x: F.when(x["n_words"] > 0, F.concat(*_shares(x))).otherwise(F.array().cast("array<double>")))
+    own = df.where(lang.isin(list(COMMON))).select(lang.alias("lang"), F.posexplode(shares).alias("k", "p"))
     rows = own.groupBy("lang", "k").agg(F.avg("p").alias("p")).orderBy("lang", "k").collect()
     out: dict[str, list[float]] = {}
     for r in rows:
@@ -155,9 +155,8 @@ def judge(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
 def keep(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``df`` that pass; texts are read twice, for the references and for the verdict."""
     f = features(F.col(text), base=False)
-    refs = references(df.select(F.col(lang).alias("__l"), f.alias("__f")), F.col("__f"), F.col("__l"))
-    named = df.withColumn("__f", f)
-    return named.where(~rejected(F.col("__f"), refs)).drop("__f")
+    refs = references(df, f, F.col(lang))
+    return df.where(sh.let(f, lambda x: ~rejected(x, refs)))
 
 
 def op4_quality_divergence(spark, sf_dir: str) -> DataFrame:
