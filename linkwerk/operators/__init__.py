@@ -1,0 +1,43 @@
+"""Checkers: one class per plan, all with the same calls."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+
+from ..plans import matching, report
+from ..sources import records, sinks
+
+PLANS = {"two_stage": matching.blocked_two_stage, "global": matching.global_two_stage, "blocked": matching.blocked_single_stage}
+
+
+class DuplicateChecker:
+    """Finds duplicates among records.
+
+    mode: two_stage (blocks, exact then fuzzy with phonetics), global (no
+    blocks) or blocked (blocks, one stage). use_parallel and n_workers are
+    taken for compatibility; Spark schedules.
+    """
+
+    def __init__(self, mode: str = "two_stage", fuzzy_threshold: float = 0.8, use_parallel: bool = True, n_workers: int | None = None, use_phonetic: bool = True, max_block_size: int | None = matching.blocking.CHUNK, blank_plz: str = "reference"):
+        self.plan = PLANS[mode]
+        self.settings = matching.Settings(fuzzy=fuzzy_threshold, chunk=max_block_size, blank_plz=blank_plz, phonetic_blocks=use_phonetic)
+
+    def find_duplicates(self, df: DataFrame, confidence_threshold: float = 70.0) -> DataFrame:
+        """Matches (record_a, record_b, confidence, match_type, details) of canonical records, lazily."""
+        return self.plan(df, replace(self.settings, confidence=confidence_threshold))
+
+    analyze_duplicates = find_duplicates
+
+    def report(self, matches: DataFrame, k: int = 10) -> dict:
+        """Totals and the first matches, as plain values."""
+        return {**report.summary(matches).first().asDict(), "top_matches": [r.asDict(recursive=True) for r in report.top(matches, k).collect()]}
+
+    def export(self, matches: DataFrame, df: DataFrame, path: str, wide: bool = False) -> bool:
+        rows = (sinks.export_rows_wide if wide else sinks.export_rows)(matches, df)
+        return sinks.write_single_csv(rows, path)
+
+    @staticmethod
+    def prepare(df: DataFrame, key: str | None = None, clean: bool = False) -> DataFrame:
+        return records.canonical(records.clean(df) if clean else df, key)
