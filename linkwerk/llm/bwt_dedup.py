@@ -11,8 +11,9 @@ the transform, all intervals of a level at once.
 
 *Over the corpus* blocks are cut so that equal strings meet. The smallest gram
 hash in each window of the minimum length anchors it; equal windows have equal
-anchors. Anchors that occur once are dropped by a hash exchange; stretches of
-windows with a repeated anchor go, with the bytes they cover, to the bucket of
+anchors. Windows whose anchor occurs once are dropped by a hash exchange, and
+again with longer grams, so that common strings much shorter than the minimum
+drop out; stretches of windows with the same (short) anchor go, with the bytes they cover, to the bucket of
 that anchor. Equal stretches are merged with a count of one or many before
 they are sent and again where they meet, so an anchor's copies reach a bucket
 once per part at most. Where all kinds of an anchor's stretches came more than
@@ -34,7 +35,7 @@ from . import bytehash as bh
 from . import shared as sh
 
 LENGTH = 400
-GRAM = 64
+GRAMS = (64, 320)
 #: Bytes that go through one transform, about; one anchor's stretches stay together.
 BLOCK = 1 << 20
 PIECES = "bucket int, part int, keys binary, sums binary, sizes binary, places binary, often binary, body binary"
@@ -72,12 +73,14 @@ def boundaries(symbols: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
     n = len(symbols)
     last = symbols[order - 1]  # the transform; order 0 wraps to the last symbol, a 0
     turn = np.flatnonzero(np.r_[True, last[1:] != last[:-1]])  # runs of the transform
-    run = np.searchsorted(turn, np.arange(n), "right") - 1
+    run = (np.cumsum(np.r_[True, last[1:] != last[:-1]], dtype=np.int32) - 1).astype(np.int32)
     run_end = np.r_[turn[1:], n] - 1
     run_symbol = last[turn].astype(np.int64)
     by = np.argsort(last, kind="stable")
-    forward = np.empty(n, np.int64)
-    forward[by] = np.arange(n)  # where a row's suffix goes when its symbol is prepended
+    # where a row's suffix goes when its symbol is prepended
+    forward = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
+    forward[by] = np.arange(n)
+    del by
     set_ = np.zeros(n + 1, bool)
     set_[[0, n]] = True
     lo, hi = np.array([0]), np.array([n - 1])
@@ -134,21 +137,34 @@ def repeated_starts(texts: list[bytes], weights: np.ndarray, length: int = LENGT
 class _Part:
     """A part's bytes, its anchors, and the stretches that share a repeated one."""
 
-    def __init__(self, table, length: int, gram: int):
+    def __init__(self, table, length: int, grams: tuple[int, ...], n_buckets: int):
         self.data, self.offsets = sh.bodies(table)
-        self.length, self.gram = length, gram
+        self.length, self.grams, self.n_buckets = length, grams, n_buckets
         self.wanted = bh.within(self.offsets, length, len(self.data))
-        self.grams = bh.windows(self.data, gram)
-        self.least, self.chosen = bh.anchors(self.grams, gram, length, self.wanted)
-        self.sent, self.often = bh.distinct(self.grams[self.chosen])
-
-    def stretches(self, again: np.ndarray) -> dict[str, np.ndarray]:
-        """Runs of windows with the same repeated anchor: keys, starts, stops (ends of their bytes), sums; sorted, equal ones together."""
+        self.least = None
+
+    def ask(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct anchors of the wanted windows, whether each occurs twice here, and each window's anchor."""
+        grams = bh.windows(self.data, self.grams[level])
+        least, chosen = bh.anchors(grams, self.grams[level], self.length, self.wanted)
+        return *bh.distinct(grams[chosen]), least
+
+    def narrow(self, levels: int, replies) -> _Part:
+        """Leaves windows whose anchors of the first levels occur twice in the corpus."""
+        for level in range(levels):
+            sent, _, least = self.ask(level)
+            again = sent[sh.bits_of(replies, level, sent, self.n_buckets)]
+            at = np.minimum(np.searchsorted(again, least), max(len(again) - 1, 0))
+            self.wanted &= again[at] == least if len(again) else False
+            self.least = least if level == 0 else self.least
+        return self
+
+    def stretches(self) -> dict[str, np.ndarray]:
+        """Runs of wanted windows with the same first anchor: keys, starts, stops (ends of their bytes), sums; sorted, equal ones together."""
         none = {k: np.zeros(0, t) for k, t in (("keys", np.uint64), ("starts", np.int64), ("stops", np.int64), ("sums", np.uint64))}
-        if not len(again) or not len(self.least):
+        on = self.wanted
+        if not on.any():
             return none
-        at = np.minimum(np.searchsorted(again, self.least), len(again) - 1)
-        on = self.wanted & (again[at] == self.least)
         doc = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))[: len(on)]
         fresh = on.copy()
         fresh[1:] &= ~on[:-1] | (self.least[1:] != self.least[:-1]) | (doc[1:] != doc[:-1])
@@ -169,19 +185,18 @@ def _kinds(s: dict[str, np.ndarray]) -> np.ndarray:
     return np.flatnonzero(np.r_[True, new])
 
 
-def _asker(length: int, gram: int, n_buckets: int):
-    def ask(docs):
-        part = _Part(sh.ordered(docs, "id", "body"), length, gram)
-        return sh.requests(docs.column("part")[0].as_py(), 0, part.sent, part.often, n_buckets)
-
-    return ask
-
+def _asker(level: int, length: int, grams: tuple[int, ...], n_buckets: int):
+    def ask(docs, replies=None):
+        if not docs.num_rows:
+            return sh.requests(0, level, np.zeros(0, np.uint64), np.zeros(0, bool), n_buckets)
+        part = _Part(sh.ordered(docs, "id", "body"), length, grams, n_buckets).narrow(level, replies)
+        sent, often, _ = part.ask(level)
+        return sh.requests(docs.column("part")[0].as_py(), level, sent, often, n_buckets)
 
-def _again(part: _Part, replies, n_buckets: int) -> np.ndarray:
-    return part.sent[sh.bits_of(replies, 0, part.sent, n_buckets)]
+    return (lambda docs: ask(docs)) if level == 0 else (lambda docs, replies: ask(docs, replies))
 
 
-def _sender(length: int, gram: int, n_buckets: int, n_piles: int):
+def _sender(length: int, grams: tuple[int, ...], n_buckets: int, n_piles: int):
     def send(docs, replies):
         import pyarrow as pa
 
@@ -189,8 +204,8 @@ def _sender(length: int, gram: int, n_buckets: int, n_piles: int):
         kinds_ = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
         if not docs.num_rows:
             return pa.table({n: pa.array([], t) for n, t in zip(names, kinds_, strict=True)})
-        part = _Part(sh.ordered(docs, "id", "body"), length, gram)
-        s = part.stretches(_again(part, replies, n_buckets))
+        part = _Part(sh.ordered(docs, "id", "body"), length, grams, n_buckets).narrow(len(grams), replies)
+        s = part.stretches()
         first = _kinds(s)
         many = np.diff(np.r_[first, len(s["keys"])]) > 1
         keys, starts, stops, sums = (s[k][first] for k in ("keys", "starts", "stops", "sums"))
@@ -253,7 +268,7 @@ def _pile(length: int):
         return pa.table(
             {
                 "part": pa.array(list(out), pa.int32()),
-                "level": pa.array([1] * len(out), pa.int32()),
+                "level": pa.array([-1] * len(out), pa.int32()),
                 "bucket": pa.array([0] * len(out), pa.int32()),
                 "bits": pa.array([None] * len(out), pa.binary()),
                 **{name: pa.array([pack(rows, k) for rows in out.values()], pa.binary()) for k, name in enumerate(("place", "start", "stop"))},
@@ -263,13 +278,13 @@ def _pile(length: int):
     return work
 
 
-def _finisher(length: int, gram: int, n_buckets: int, with_text: bool):
+def _finisher(length: int, grams: tuple[int, ...], n_buckets: int, with_text: bool):
     def finish(docs, replies):
         import pyarrow as pa
 
         docs = sh.ordered(docs, "id", "body")
-        part = _Part(docs, length, gram)
-        s = part.stretches(_again(part, replies, n_buckets))
+        part = _Part(docs, length, grams, n_buckets).narrow(len(grams), replies)
+        s = part.stretches()
         first = np.r_[_kinds(s), len(s["keys"])].astype(np.int64)
         place, start, stop = (np.concatenate([np.frombuffer(x, np.int64) for x in replies.column(c).drop_null().to_pylist()] or [np.zeros(0, np.int64)]) for c in ("place", "start", "stop"))
         copies = np.diff(first)[place]
@@ -295,7 +310,7 @@ def _finisher(length: int, gram: int, n_buckets: int, with_text: bool):
     return finish
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, part_bytes: int = sh.PART_BYTES // 2, with_text: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, grams: tuple[int, ...] = GRAMS, part_bytes: int = sh.PART_BYTES // 2, with_text: bool = True) -> DataFrame:
     """Per document the counts and digest of RESULT: bytes outside every string of ``length`` that starts twice."""
     from pyspark.sql import functions as F
 
@@ -303,12 +318,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
     n_buckets = sh.bucket_count(n_bytes / 100)
     n_piles = sh.part_count(2 * n_bytes, sh.PART_BYTES)
     parts = sh.in_parts(df, id_col, text, sh.part_count(n_bytes, part_bytes)).groupBy("part")
-    told = sh.answers(parts.applyInArrow(_asker(length, gram, n_buckets), sh.REQUEST))
-    pieces = parts.cogroup(told.groupBy("part")).applyInArrow(_sender(length, gram, n_buckets, n_piles), PIECES)
+    told: DataFrame | None = None
+    for level in range(len(grams)):
+        ask = _asker(level, length, grams, n_buckets)
+        asked = parts.applyInArrow(ask, sh.REQUEST) if told is None else parts.cogroup(told.groupBy("part")).applyInArrow(ask, sh.REQUEST)
+        told = sh.answers(asked) if told is None else told.unionByName(sh.answers(asked))
+    pieces = parts.cogroup(told.groupBy("part")).applyInArrow(_sender(length, grams, n_buckets, n_piles), PIECES)
     runs = pieces.repartition(n_piles, "bucket").groupBy("bucket").applyInArrow(_pile(length), RUNS)
     none = F.lit(None).cast("binary")
     replies = told.select("part", "level", "bucket", "bits", none.alias("place"), none.alias("start"), none.alias("stop")).unionByName(runs)
-    return parts.cogroup(replies.groupBy("part")).applyInArrow(_finisher(length, gram, n_buckets, with_text), RESULT)
+    return parts.cogroup(replies.groupBy("part")).applyInArrow(_finisher(length, grams, n_buckets, with_text), RESULT)
 
 
 def op9_bwt_dedup(spark, sf_dir: str) -> DataFrame:
