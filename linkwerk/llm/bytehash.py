@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
-_STRETCH = 1 << 18
+_STRETCH = 1 << 16
 _SPAN = 1 << 20
 _tables: dict[str, np.ndarray] = {}
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in a part: a worker holds a few times as much.
-PART_BYTES = 8_000_000
+PART_BYTES = 4_000_000
 #: Distinct hashes that a bucket merges at once, about.
 BUCKET_HASHES = 2_000_000
 #: Words are separated by these six bytes, in every operator that splits words.
