@@ -147,7 +147,7 @@ class _Part:
         """Distinct anchors of the wanted windows, whether each occurs twice here, and each window's anchor."""
         grams = bh.windows(self.data, self.grams[level])
         least, chosen = bh.anchors(grams, self.grams[level], self.length, self.wanted)
-        return *bh.distinct(grams[chosen]), least
+        return *bh.distinct(bh.mix(grams[chosen])), least
 
     def narrow(self, levels: int, replies) -> _Part:
         """Leaves windows whose anchors of the first levels occur twice in the corpus."""

@@ -134,14 +134,16 @@ def anchors(grams: np.ndarray, gram: int, window: int, wanted: np.ndarray) -> tu
     """The smallest gram hash in each window, and which grams are that for a wanted window.
 
     Equal windows have the same smallest gram at the same places, so a window
-    that occurs twice has one that occurs twice. Ties all count.
+    that occurs twice has one that occurs twice. Ties all count. Smallest
+    hashes crowd at the low end, so they are mixed again before they are
+    returned; mix() the chosen grams alike.
     """
     span = window - gram + 1
     least = sliding(np.minimum, grams, span)
     shown = np.where(wanted, least, np.uint64(0))
     padded = np.concatenate([np.zeros(span - 1, np.uint64), shown, np.zeros(span - 1, np.uint64)])
     chosen = sliding(np.maximum, padded, span) == grams
-    return least, chosen & (grams != 0)
+    return mix(least), chosen & (grams != 0)
 
 
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -62,7 +62,7 @@ class _Part:
             self.asked, values = grams, grams[self.wanted]
         else:
             self.asked, chosen = bh.anchors(grams, gram, self.window, self.wanted)
-            values = grams[chosen]
+            values = bh.mix(grams[chosen])
         return bh.distinct(values)
 
     def narrow(self, level: int, gram: int, replies) -> None:
