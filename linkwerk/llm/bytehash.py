@@ -140,6 +140,8 @@ def anchors(grams: np.ndarray, gram: int, window: int, wanted: np.ndarray) -> tu
     """
     span = window - gram + 1
     least = sliding(np.minimum, grams, span)
+    if not len(least):
+        return least, np.zeros(len(grams), bool)
     shown = np.where(wanted, least, np.uint64(0))
     padded = np.concatenate([np.zeros(span - 1, np.uint64), shown, np.zeros(span - 1, np.uint64)])
     chosen = sliding(np.maximum, padded, span) == grams

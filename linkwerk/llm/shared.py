@@ -96,10 +96,22 @@ def ordered(table, *keys: str):
     return table.sort_by([(k, "ascending") for k in keys]) if table.num_rows > 1 else table
 
 
+def give_back() -> None:
+    """Returns what earlier groups left in this worker's allocators to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):  # GNU only
+        libc.malloc_trim(0)
+
+
 def bodies(table) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of column body after each other, and where each row's begin: n + 1 offsets."""
     import pyarrow as pa
 
+    give_back()
     column = table.column("body").combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.binary())
@@ -153,6 +165,7 @@ def _repeated(table):
     """Answers every request of a bucket with a bit for each hash: it occurs twice or more in the corpus."""
     import pyarrow as pa
 
+    give_back()
     asked = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
     counts = [1 + np.unpackbits(np.frombuffer(x, np.uint8), count=len(h)) for x, h in zip(table.column("often").to_pylist(), asked, strict=True)]
     _, _, back = merge_counts(asked, counts)
