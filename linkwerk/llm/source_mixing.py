@@ -26,6 +26,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SEED = 7
+#: Rows of the table of sources up to which it is broadcast.
+FEW_SOURCES = 50_000
 
 
 def size_of(text: Column) -> Column:
@@ -63,7 +65,9 @@ def draw(id_col: Column, text: Column, seed: int = SEED) -> Column:
 def rated(df: DataFrame, id_col: str, text: str, source: str) -> DataFrame:
     """``df`` with column __mix: struct of size, source_size, target and copies."""
     sizes = df.groupBy(F.col(source).alias("source")).agg(F.sum(size_of(F.col(text))).alias("source_size"))
-    known = targets(sizes).select(F.struct("source", "source_size", "target").alias("__of"))
+    known = sh.cut(targets(sizes).select(F.struct("source", "source_size", "target").alias("__of")))
+    if known.count() <= FEW_SOURCES:  # else the join deals rows by source, and adaptive execution splits hot ones
+        known = F.broadcast(known)
     rate = F.when(F.col("__of.source_size") > 0, F.col("__of.target") / F.col("__of.source_size")).otherwise(F.lit(0.0))
     copies = F.floor(rate) + F.when(draw(F.col(id_col), F.col(text)) < rate - F.floor(rate), 1).otherwise(0)
     joined = df.join(known, F.col(source).eqNullSafe(F.col("__of.source")))
