@@ -21,7 +21,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _per_record(*columns) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, d: _records(spark, d).select("row_id", *(c.alias(k) for k, c in columns))
+    return lambda spark, d: _records(spark, d).select("row_id", *(make().alias(k) for k, make in columns))
 
 
 def _blocks(spark: SparkSession, d: DataFrame) -> DataFrame:
@@ -93,16 +93,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     c = F.col
     return {
         "scan_project_filter": _scan,
-        "normalize_name": _per_record(("vorname", names.name(c("Vorname"))), ("name", names.name(c("Name")))),
-        "normalize_name_poc": _per_record(("vorname", names.name_plain(c("Vorname"))), ("name", names.name_plain(c("Name")))),
-        "normalize_plz": _per_record(("plz", names.postal_code(c("Plz")))),
-        "normalize_street": _per_record(("street", names.street(c("Strasse")))),
-        "normalize_street_literal": _per_record(("street", names.street_literal(c("Strasse")))),
-        "blocking_keys": _per_record(("block_key", blocking.blocking_key())),
+        "normalize_name": _per_record(("vorname", lambda: names.name(c("Vorname"))), ("name", lambda: names.name(c("Name")))),
+        "normalize_name_poc": _per_record(("vorname", lambda: names.name_plain(c("Vorname"))), ("name", lambda: names.name_plain(c("Name")))),
+        "normalize_plz": _per_record(("plz", lambda: names.postal_code(c("Plz")))),
+        "normalize_street": _per_record(("street", lambda: names.street(c("Strasse")))),
+        "normalize_street_literal": _per_record(("street", lambda: names.street_literal(c("Strasse")))),
+        "blocking_keys": _per_record(("block_key", lambda: blocking.blocking_key())),
         "block_sizes": lambda s, d: blocking.block_sizes(_blocks(s, d)),
         "block_chunks": lambda s, d: _blocks(s, d).select("row_id", "block_key", "chunk_no"),
         "comparison_reduction": lambda s, d: blocking.reduction(_blocks(s, d)).withColumn("saved_percent", F.round("saved_percent", 9)),
-        "effective_year": _per_record(("year", names.effective_year(c("Geburtstag"), c("Jahrgang")))),
+        "effective_year": _per_record(("year", lambda: names.effective_year(c("Geburtstag"), c("Jahrgang")))),
         "date_rule_pairs": lambda s, d: _candidates(s, d).groupBy(c("a_block_key").alias("block_key"), c("a_year").alias("year")).agg(F.count("*").alias("n_pairs")),
         "zweitname_pairs": lambda s, d: _ids(_candidates(s, d).where(matching.second_name_rule() & ((c("a_second") != "") | (c("b_second") != "")))),
         "address_ratio_pairs": lambda s, d: _candidates(s, d).select(c("a_block_key").alias("block_key"), *matching.address_scores()).groupBy("block_key", "address_matches", "total_address_fields").agg(F.count("*").alias("n_pairs")),
@@ -110,7 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unmatched_records": _unmatched,
         "name_similarity": _similarity,
         "fuzzy_matches": lambda s, d: _flat(_all(s, d)).where(c("match_type").startswith("fuzzy")),
-        "phonetic_codes": _per_record(("vorname_phon", cologne(c("Vorname"))), ("name_phon", cologne(c("Name")))),
+        "phonetic_codes": _per_record(("vorname_phon", lambda: cologne(c("Vorname"))), ("name_phon", lambda: cologne(c("Name")))),
         "phonetic_matches": lambda s, d: _flat(_all(s, d)).where(c("match_type").startswith("phonetic")),
         "all_matches": all_matches,
         "match_type_breakdown": lambda s, d: report.breakdown(_all(s, d)),
