@@ -125,7 +125,6 @@ def test_links_join_every_group(spark, shard):
     df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
     links = simhash_dedup.links(df, shard)
     rows = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links.collect()]
-    assert all((a ^ b).bit_count() <= 3 for a, b in rows) or shard == 3 or rows
     want = _roots(values, lambda a, b: (a ^ b).bit_count() <= 3)
     pairs = {frozenset(p) for p in rows}
     got = _roots(values, lambda a, b: frozenset((a, b)) in pairs)
@@ -308,7 +307,7 @@ def test_decontamination(spark):
     changed[10] = "changed"
     rows = [prose(rng, 300, 3000) + " " + items[0][1].upper().replace(".", " !") + " " + prose(rng, 100, 3000), " ".join(changed), half, items[2][1], prose(rng, 5000, 3000) + items[3][1], prose(rng, 400, 3000), "", None]
     found = decontamination.contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
-    assert {r.doc_id: r.item_ids for r in found.collect()} in ({0: "0", 1: "1", 3: "2", 4: "3"}, {0: "0", 1: "1", 3: "2"})
+    assert {r.doc_id: r.item_ids for r in found.collect()} == {0: "0", 1: "1", 3: "2", 4: "3"}
     clean = decontamination.clean(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
     assert {2, 5, 6, 7} <= {r.doc_id for r in clean.collect()} and clean.columns == frame(spark, rows).columns
     assert decontamination.contaminated(frame(spark, rows), spark.createDataFrame([], "item_id long, text string")).count() == 0
