@@ -215,6 +215,11 @@ def _sketches(with_sets: bool):
     return run
 
 
+def _shared(few: np.ndarray, many: np.ndarray) -> int:
+    """How many of the sorted distinct ``few`` are in the sorted distinct ``many``, which are as many at least."""
+    return int(np.count_nonzero(many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few))
+
+
 def _verified(batches):
     """As _links, with a set of shingles for each fingerprint; a link needs ``SIMILAR`` of the sets."""
     import pyarrow as pa
@@ -232,14 +237,14 @@ def _verified(batches):
         for *at, guest, node, fp, packed in zip(*(b.column(c).to_pylist() for c in ("choice", "key", "tree", "guest", "node", "fp", "shingles")), strict=True):
             if at != own:
                 own, tree, held, up = at, BKTree(), {}, {}
-            fp, mine, done = fp & mask, set(np.frombuffer(packed, np.uint32).tolist()), set()
+            fp, mine, done = fp & mask, np.frombuffer(packed, np.uint32), set()
             for print_ in tree.near(fp, WIDE):
                 for other, theirs in held[print_]:
                     r = root(other)
-                    few, many = sorted((len(mine), len(theirs)))
-                    if r in done or few < SIMILAR * many:
+                    few, many = (mine, theirs) if len(mine) <= len(theirs) else (theirs, mine)
+                    if r in done or len(few) < SIMILAR * len(many):
                         continue
-                    if (both := len(mine & theirs)) >= SIMILAR * (few + many - both):
+                    if (both := _shared(few, many)) >= SIMILAR * (len(few) + len(many) - both):
                         done.add(r)
                         a.append(node)
                         z.append(r)
