@@ -333,3 +333,25 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
 def op9_bwt_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: 400-byte strings of ``documents``."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_text=False).drop("kept")
+
+
+#: A digest of every string of LENGTH bytes, from digests of half the length.
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b1 AS (SELECT rid, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS b, unnest(l) AS s FROM (SELECT rid, regexp_extract_all(x, '..') AS l FROM d)),
+b2 AS (SELECT rid, i, b, s || lead(s, 1) OVER (PARTITION BY rid ORDER BY i) AS s FROM b1),
+b4 AS (SELECT rid, i, b, s || lead(s, 2) OVER (PARTITION BY rid ORDER BY i) AS s FROM b2),
+b8 AS (SELECT rid, i, b, s || lead(s, 4) OVER (PARTITION BY rid ORDER BY i) AS s FROM b4),
+b16 AS (SELECT rid, i, b, s || lead(s, 8) OVER (PARTITION BY rid ORDER BY i) AS s FROM b8),
+b32 AS (SELECT rid, i, b, md5(s || lead(s, 16) OVER (PARTITION BY rid ORDER BY i)) AS s FROM b16),
+b64 AS (SELECT rid, i, b, md5(s || lead(s, 32) OVER (PARTITION BY rid ORDER BY i)) AS s FROM b32),
+b128 AS (SELECT rid, i, b, md5(s || lead(s, 64) OVER (PARTITION BY rid ORDER BY i)) AS s FROM b64),
+b256 AS (SELECT rid, i, b, md5(s || lead(s, 128) OVER (PARTITION BY rid ORDER BY i)) AS s FROM b128),
+b400 AS (SELECT rid, i, b, md5(s || lead(s, 144) OVER (PARTITION BY rid ORDER BY i)) AS s FROM b256),
+r AS (SELECT s FROM b400 WHERE s IS NOT NULL GROUP BY s HAVING count(*) > 1),
+m AS (SELECT rid, i, b, max(CASE WHEN r.s IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 399 PRECEDING AND CURRENT ROW) AS gone FROM b400 LEFT JOIN r ON b400.s = r.s),
+h AS (SELECT *, gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY i), 0) = 0 AS head FROM m),
+k AS (SELECT rid, count(*) AS n_bytes, count(*) FILTER (WHERE gone = 1) AS n_removed, count(*) FILTER (WHERE head) AS n_spans, string_agg(b, '' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM h GROUP BY rid)
+SELECT d.doc_id, coalesce(n_bytes, 0)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k ON d.rid = k.rid
+"""

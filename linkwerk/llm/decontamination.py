@@ -245,3 +245,24 @@ def clean(df: DataFrame, items: DataFrame) -> DataFrame:
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` against all ``benchmark`` items."""
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+#: What verification alone finds among all pairs: retrieval must lose none of them.
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS iid, item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM benchmark),
+h AS (SELECT *, regexp_extract(text, '(?s)^.*[.?!]\s+', 0) AS head FROM i),
+p AS (SELECT iid, item_id, part, regexp_extract_all(own, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM (SELECT iid, item_id, 0 AS part, head AS own FROM h UNION ALL SELECT iid, item_id, 1, substr(text, length(head) + 1) FROM h)),
+n AS (SELECT iid FROM p GROUP BY iid HAVING sum(len(w)) > 1),
+s AS (SELECT DISTINCT iid, item_id, part, least(len(w), 5) AS size, array_to_string(w[j:j + 4], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS j FROM p WHERE len(w) > 0) WHERE iid IN (SELECT iid FROM n)),
+f AS (SELECT iid, item_id, part, count(*) AS need FROM s GROUP BY ALL),
+z AS (SELECT DISTINCT size FROM s),
+u AS (SELECT rid, doc_id, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS x FROM d),
+v AS (SELECT rid, doc_id, x, x || ' ' || lead(x, 1) OVER q AS x2, lead(x, 2) OVER q AS x3, lead(x, 3) OVER q AS x4, lead(x, 4) OVER q AS x5 FROM u WINDOW q AS (PARTITION BY rid ORDER BY j)),
+t AS (SELECT DISTINCT rid, doc_id, size, g FROM (SELECT rid, doc_id, size, CASE size WHEN 1 THEN x WHEN 2 THEN x2 WHEN 3 THEN x2 || ' ' || x3 WHEN 4 THEN x2 || ' ' || x3 || ' ' || x4 ELSE x2 || ' ' || x3 || ' ' || x4 || ' ' || x5 END AS g FROM v, z) WHERE g IS NOT NULL),
+o AS (SELECT rid, doc_id, s.iid, s.part, count(*) AS have FROM t JOIN s ON t.g = s.g AND t.size = s.size GROUP BY ALL),
+e AS (SELECT iid, count(*) AS parts FROM f GROUP BY iid),
+c AS (SELECT rid, doc_id, f.iid, f.item_id, count(*) AS parts FROM o JOIN f ON o.iid = f.iid AND o.part = f.part WHERE have >= 0.8 * need GROUP BY ALL),
+y AS (SELECT c.* FROM c JOIN e ON c.iid = e.iid AND c.parts = e.parts)
+SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS item_ids FROM y GROUP BY rid, doc_id
+"""
