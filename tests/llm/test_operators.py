@@ -151,6 +151,13 @@ def test_near_duplicates(spark):
     assert simhash_dedup.near_duplicates(frame(spark, []).limit(0)).count() == 0
 
 
+def test_shared_shingles():
+    rng = random.Random(15)
+    for _ in range(200):
+        few, many = sorted(({rng.randrange(40) for _ in range(rng.randrange(1, 30))} for _ in range(2)), key=len)
+        assert simhash_dedup._shared(*(np.array(sorted(x), np.uint32) for x in (few, many))) == len(few & many)
+
+
 def test_keep_one(spark):
     rng = random.Random(8)
     base = prose(rng, 200, 9000).split()
