@@ -1,17 +1,23 @@
 """Perplexity of documents under a Brown class-based bigram model.
 
 P(word | previous) = P(class | class of previous) * P(word | class). Classes
-come from the exchange algorithm: each element moves to the class that most
-raises the likelihood of the class bigrams, until nothing moves. Elements are
-the ``FREQUENT`` most frequent words, the end of a document, and ``SHAPES``
-groups that all other words fall into by their last two bytes; a group spreads
-its probability over its words by their counts, with one share for words never
-seen. Word counts, element bigrams and vocabulary cover all training documents.
-
-Words are counted by hash in buckets (each task sends a word once per flush);
-the element bigrams, (FREQUENT + SHAPES + 1)^2 numbers at most, are the only
-counts that reach the driver, where the exchange runs. For scoring, each part
-of the corpus asks the buckets for the counts of its distinct words.
+are found in two steps. The seed is the exchange algorithm on the driver: each
+element moves to the class that most raises the likelihood of the class
+bigrams, until nothing moves; its elements are the ``FREQUENT`` most frequent
+words, the end of a document, and ``SHAPES`` groups that all other words fall
+into by their last two bytes. Then every other word of ``FLOOR`` training
+tokens or more takes, in its bucket, the class that most raises the seed's
+likelihood by the classes before and after the word. Only words below the floor
+stay in the groups; a group spreads its probability over its words by their
+counts, with one share for words never seen. Class transitions are counted anew
+with all words in their final classes.
+
+Words are counted by hash in buckets (each task sends a word once per flush),
+and so are the classes next to them; the element bigrams, (FREQUENT + SHAPES +
+1)^2 numbers at most, and the class bigrams are the only counts that reach the
+driver. For scoring, each part of the corpus asks the buckets for the counts
+and classes of its distinct words; a checkpoint holds the classes of all tokens,
+two bytes each, from which transitions are counted and scored.
 
 Defined results: null text counts as empty and scores its end token; a null id
 has the check sum of the empty string (held out); with no training documents
@@ -30,7 +36,7 @@ from . import bytehash as bh
 from . import shared as sh
 
 FREQUENT = 1000
-CLASSES = 48
+CLASSES = 96
 SHAPES = 64
 SWEEPS = 20
 FOLDS = 10
@@ -39,9 +45,18 @@ ADD = 0.1
 #: Weight of the class unigram in class transitions.
 BACK_OFF = 10.0
 END = np.uint64(0xE11D << 40)
+#: Training tokens of a word from which it has a class of its own.
+FLOOR = 5
+#: Class of a word below the floor: that of its shape.
+NONE = 0xFFFF
 _FLUSH = 2_000_000
+#: Words whose neighbours are held at once.
+_BLOCK = 1 << 14
 COUNTS = "bucket int, hashes binary, counts binary, n_words long, n_tokens long"
+NEAR = "bucket int, hashes binary, sizes binary, slots binary, counts binary"
+CLASSED = "bucket int, hashes binary, counts binary, classes binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+READ = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, emitted double, classes binary"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -131,17 +146,6 @@ def _leaders(most: int):
     return run
 
 
-def _shapes(batches):
-    import pyarrow as pa
-
-    for b in batches:
-        for h, c in zip(b.column("hashes"), b.column("counts"), strict=True):
-            h, c = np.frombuffer(h.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int64)
-            h, c = h[h != END], c[h != END]
-            shape = (h & np.uint64(SHAPES - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SHAPES)), pa.array(np.bincount(shape, minlength=SHAPES)), pa.array(np.bincount(shape, c, SHAPES).astype(np.int64))], ["shape", "words", "n"])
-
-
 class Elements:
     """Frequent words first (by hash), then shapes, then the end."""
 
@@ -230,31 +234,145 @@ def exchange(bigrams: np.ndarray, n_classes: int = CLASSES, sweeps: int = SWEEPS
     return own
 
 
-class Model:
-    """Log10 tables of the class model, and the numbers of the base model."""
+def _transitions(table: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """P(class | class before), smoothed by the class unigram; classes without elements get nothing."""
+    back = np.where(used, table.sum(0) + 0.5, 0)
+    back = back / back.sum()
+    return (table + BACK_OFF * back) / (table.sum(1, keepdims=True) + BACK_OFF)
+
+
+class Seed:
+    """Classes of the elements, and the gains by which the other words choose theirs."""
 
-    def __init__(self, elements: Elements, bigrams: np.ndarray, classes: np.ndarray, shape_words: np.ndarray, shape_tokens: np.ndarray, n_tokens: int, n_words: int, n_classes: int = CLASSES):
-        self.elements, self.classes, self.n_tokens, self.n_words = elements, classes, n_tokens, n_words
+    def __init__(self, elements: Elements, bigrams: np.ndarray, classes: np.ndarray, n_classes: int):
+        self.elements, self.classes, self.n_classes = elements, classes, n_classes
         table = np.zeros((n_classes, n_classes))
         np.add.at(table, (classes[:, None], classes[None, :]), bigrams)
-        used = np.bincount(classes, minlength=n_classes) > 0
-        back = np.where(used, table.sum(0) + 0.5, 0)
-        back = back / back.sum()
+        self.used = np.bincount(classes, minlength=n_classes) > 0
+        step = _transitions(table, self.used)
+        unigram = np.where(self.used, table.sum(0) + 0.5, 1.0)
+        open_ = self.used.copy()
+        open_[classes[-1]] = False  # the end stays alone
         with np.errstate(divide="ignore"):
-            self.step = np.log10((table + BACK_OFF * back) / (table.sum(1, keepdims=True) + BACK_OFF))
-        own = bigrams.sum(0) + ADD
-        self.emit = np.log10(own / np.bincount(classes, own, n_classes)[classes])
-        self.shape_base = shape_tokens + ADD * (shape_words + 1)
-
-    def score(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Log10 probability of each token after the one before it."""
-        m, e = len(self.elements.frequent), self.elements.of(hashes)
-        c = self.classes[e]
-        before = np.r_[self.classes[-1], c[:-1]]
-        out = self.step[before, c] + self.emit[e]
-        rare = np.flatnonzero((e >= m) & (e < self.elements.n - 1))
-        out[rare] += np.log10((counts[rare] + ADD) / self.shape_base[e[rare] - m])
-        return out
+            after, before = np.log(step), np.log(step / unigram)
+        # slots: classes before a word, then classes after it; unused classes are in no slot
+        gain = np.vstack([before, after.T])
+        gain[~np.isfinite(gain)] = 0
+        self.gain = np.where(open_, gain, 0)
+        self.closed = ~open_
+
+    def choose(self, near: np.ndarray) -> np.ndarray:
+        """Class of each row of counts by slot: the one that most raises the likelihood of the seed's class bigrams."""
+        return np.argmax(np.where(self.closed, -np.inf, near @ self.gain), axis=1).astype(np.uint16)
+
+
+def _neighbours(seed: Seed, n_buckets: int):
+    """Per bucket, the words that are no element by themselves and how often each class is before and after them."""
+    width, elements = 2 * seed.n_classes, seed.elements
+
+    def flush(hashes, slots):
+        import pyarrow as pa
+
+        words, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        near = np.concatenate(slots)
+        cells, counts = np.unique(np.r_[at * width + near[:, 0], at * width + near[:, 1]], return_counts=True)
+        sizes = np.bincount(cells // width, minlength=len(words)).astype(np.int32)
+        first, edges = np.r_[0, np.cumsum(sizes)], sh.buckets_of(words, n_buckets)
+        full = [b for b in range(n_buckets) if edges[b + 1] > edges[b]]
+        slot, counts = (cells % width).astype(np.uint16), counts.astype(np.min_scalar_type(int(counts.max())))
+        own = [(edges[b], edges[b + 1]) for b in full]
+        packed = [[x[a:z].tobytes() for a, z in own] for x in (words, sizes)] + [[x[first[a] : first[z]].tobytes() for a, z in own] for x in (slot, counts)]
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in packed)], ["bucket", "hashes", "sizes", "slots", "counts"])
+
+    def run(batches):
+        hashes, slots, held = [], [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            h = _batch_tokens(b)[0]
+            e = elements.of(h)
+            c = seed.classes[e]
+            rare = np.flatnonzero((e >= len(elements.frequent)) & (e < elements.n - 1))  # never a batch's last token, which is an end
+            hashes.append(h[rare])
+            slots.append(np.stack([np.r_[seed.classes[-1], c[:-1]][rare], seed.n_classes + c[rare + 1]], axis=1))
+            held += len(rare)
+            if held > _FLUSH // 2:
+                yield flush(hashes, slots)
+                hashes, slots, held = [], [], 0
+        if held:
+            yield flush(hashes, slots)
+
+    return run
+
+
+def _assigner(seed: Seed, floor: int):
+    def assign(near, counted):
+        import pyarrow as pa
+
+        sh.give_back()
+        own, counts = (np.frombuffer(counted.column(k)[0].as_py(), t) for k, t in (("hashes", np.uint64), ("counts", np.int64)))
+        classes = np.full(len(own), NONE, np.uint16)
+        e = seed.elements.of(own)
+        fixed = (e < len(seed.elements.frequent)) | (own == END)
+        classes[fixed] = seed.classes[e[fixed]]
+        todo = np.flatnonzero(~fixed & (counts >= floor))
+        told = []
+        for h, sizes, slots, n in zip(*(near.column(k).to_pylist() for k in ("hashes", "sizes", "slots", "counts")), strict=True):
+            slots = np.frombuffer(slots, np.uint16)
+            told.append((np.frombuffer(h, np.uint64), np.r_[0, np.cumsum(np.frombuffer(sizes, np.int32))], slots, np.frombuffer(n, f"u{len(n) // len(slots)}")))
+        width = 2 * seed.n_classes
+        for at in range(0, len(todo), _BLOCK):
+            block = todo[at : at + _BLOCK]
+            words, table = own[block], np.zeros(len(block) * width)
+            for h, first, slots, n in told:
+                a, z = np.searchsorted(h, words[0]), np.searchsorted(h, words[-1], "right")
+                place = np.minimum(np.searchsorted(words, h[a:z]), len(words) - 1)
+                place = np.where(words[place] == h[a:z], place, -1)
+                place = np.repeat(place, np.diff(first[a : z + 1]))
+                here = place >= 0
+                np.add.at(table, place[here] * width + slots[first[a] : first[z]][here], n[first[a] : first[z]][here])
+            classes[block] = seed.choose(table.reshape(-1, width))
+        return pa.table({"bucket": pa.array([counted.column("bucket")[0].as_py()], pa.int32()), "hashes": pa.array([own.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()), "classes": pa.array([classes.tobytes()], pa.binary())})
+
+    return assign
+
+
+def _totals(n_classes: int):
+    """Words and tokens of each class, then of each shape, which holds the words without a class."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for h, c, k in zip(b.column("hashes"), b.column("counts"), b.column("classes"), strict=True):
+                h, c, k = np.frombuffer(h.as_py(), np.uint64), np.frombuffer(c.as_py(), np.int64), np.frombuffer(k.as_py(), np.uint16)
+                at = np.where(k == NONE, n_classes + (h & np.uint64(SHAPES - 1)).astype(np.int64), k)
+                n = n_classes + SHAPES
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(np.bincount(at, minlength=n)), pa.array(np.bincount(at, c, n).astype(np.int64))], ["k", "words", "n"])
+
+    return run
+
+
+class Model:
+    """What emissions need: the totals of classes and shapes, and the numbers of the base model."""
+
+    def __init__(self, seed: Seed, words: np.ndarray, tokens_: np.ndarray, n_tokens: int, n_words: int):
+        k, self.n_tokens, self.n_words = seed.n_classes, n_tokens, n_words
+        self.end = int(seed.classes[-1])
+        self.shape_class = seed.classes[len(seed.elements.frequent) : -1]
+        own = tokens_[:k] + ADD * words[:k]
+        np.add.at(own, self.shape_class, tokens_[k:] + ADD)
+        self.total = np.log10(np.maximum(own, ADD))
+        # of a word in a shape: the shape in its class, then the word in the shape
+        self.shape = np.log10(tokens_[k:] + ADD) - np.log10(tokens_[k:] + ADD * (words[k:] + 1))
+
+    def emit(self, hashes: np.ndarray, counts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class of each token, and its log10 probability in the class. classes: as looked up."""
+        shape = (hashes & np.uint64(SHAPES - 1)).astype(np.int64)
+        rare, end = classes == NONE, hashes == END
+        c = np.where(end, self.end, np.where(rare, self.shape_class[shape], classes)).astype(np.int64)
+        out = np.log10(counts + ADD) - self.total[c] + np.where(rare, self.shape[shape], 0)
+        return c, np.where(end, 0.0, out)
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ADD) / (self.n_tokens + ADD * (self.n_words + 1)))
@@ -265,24 +383,24 @@ def count_words(docs: DataFrame, n_buckets: int) -> DataFrame:
     return sh.cut(docs.mapInArrow(_counter(n_buckets), COUNTS).groupBy("bucket").applyInArrow(_add_up, COUNTS))
 
 
-def train(docs: DataFrame, counted: DataFrame, frequent: int = FREQUENT, n_classes: int = CLASSES) -> Model:
+def train(docs: DataFrame, counted: DataFrame, n_buckets: int, frequent: int = FREQUENT, n_classes: int = CLASSES, floor: int = FLOOR) -> tuple[Seed, Model, DataFrame]:
+    """The seed, the model and, kept in a checkpoint, rows of CLASSED: all words, with the classes of those above the floor."""
     own = counted.where("n_words > 0").select("hashes", "counts")
     n_words, n_tokens = counted.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     top = own.mapInArrow(_leaders(frequent + 1), "hash long, n long").orderBy(F.desc("n"), "hash").limit(frequent + 1).toPandas()
-    h, c = top["hash"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    h, c = h[h != END][:frequent], c[h != END][:frequent]
-    elements = Elements(h)
-    shapes = own.mapInArrow(_shapes, "shape long, words long, n long").groupBy("shape").agg(F.sum("words").alias("words"), F.sum("n").alias("n")).toPandas()
-    words, n = np.zeros(SHAPES), np.zeros(SHAPES)
-    words[shapes["shape"].to_numpy(int)], n[shapes["shape"].to_numpy(int)] = shapes["words"], shapes["n"]
-    at = (h & np.uint64(SHAPES - 1)).astype(np.int64)
-    words -= np.bincount(at, minlength=SHAPES)
-    n -= np.bincount(at, c, SHAPES)
+    h = top["hash"].to_numpy(np.int64).view(np.uint64)
+    elements = Elements(h[h != END][:frequent])
     cells = docs.mapInArrow(_bigrams(elements), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     bigrams = np.zeros(elements.n**2)
     bigrams[cells["cell"].to_numpy(np.int64)] = cells["n"]
     bigrams = bigrams.reshape(elements.n, elements.n)
-    return Model(elements, bigrams, exchange(bigrams, n_classes), words, n, n_tokens, n_words, n_classes)
+    seed = Seed(elements, bigrams, exchange(bigrams, n_classes), n_classes)
+    near = docs.mapInArrow(_neighbours(seed, n_buckets), NEAR)
+    classed = sh.cut(near.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(_assigner(seed, floor), CLASSED))
+    sums = classed.mapInArrow(_totals(n_classes), "k long, words long, n long").groupBy("k").agg(F.sum("words").alias("words"), F.sum("n").alias("n")).toPandas()
+    words, n = np.zeros(n_classes + SHAPES), np.zeros(n_classes + SHAPES)
+    words[sums["k"].to_numpy(int)], n[sums["k"].to_numpy(int)] = sums["words"], sums["n"]
+    return seed, Model(seed, words, n, n_tokens, n_words), classed
 
 
 def _ask(n_buckets: int):
@@ -293,60 +411,108 @@ def _ask(n_buckets: int):
     return ask
 
 
-def _look_up(asked, counted):
+def _look_up(asked, classed):
     import pyarrow as pa
 
-    known = np.frombuffer(counted.column("hashes")[0].as_py(), np.uint64) if counted.num_rows else np.zeros(0, np.uint64)
-    counts = np.frombuffer(counted.column("counts")[0].as_py(), np.int64) if counted.num_rows else np.zeros(0, np.int64)
-    found = []
+    there = classed.num_rows > 0
+    known, counts, classes = (np.frombuffer(classed.column(k)[0].as_py(), t) if there else np.zeros(0, t) for k, t in (("hashes", np.uint64), ("counts", np.int64), ("classes", np.uint16)))
+    found, of = [], []
     for x in asked.column("hashes").to_pylist():
         x = np.frombuffer(x, np.uint64)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, x), len(known) - 1)
-            found.append(np.where(known[at] == x, counts[at], 0).astype(np.int64).tobytes())
-        else:
-            found.append(np.zeros(len(x), np.int64).tobytes())
-    return pa.table({"part": asked.column("part").cast(pa.int32()), "bucket": asked.column("bucket").cast(pa.int32()), "counts": pa.array(found, pa.binary())})
+        at = np.minimum(np.searchsorted(known, x), max(0, len(known) - 1))
+        hit = known[at] == x if len(known) else np.zeros(len(x), bool)
+        n, c = np.zeros(len(x), np.int64), np.full(len(x), NONE, np.uint16)
+        n[hit], c[hit] = counts[at[hit]], classes[at[hit]]
+        found.append(n.tobytes())
+        of.append(c.tobytes())
+    return pa.table({"part": asked.column("part").cast(pa.int32()), "bucket": asked.column("bucket").cast(pa.int32()), "counts": pa.array(found, pa.binary()), "classes": pa.array(of, pa.binary())})
+
 
+def _reader(model: Model, n_buckets: int):
+    """Rows of READ: all of a document's scores but the class transitions, for which its classes are kept."""
 
-def _scorer(model: Model, n_buckets: int):
-    def score(docs, replies):
+    def read(docs, replies):
         import pyarrow as pa
 
         docs = sh.ordered(docs, "id", "body")
         h, first = tokens(*sh.bodies(docs))
         sent, back = np.unique(h, return_inverse=True)
-        edges, counts = sh.buckets_of(sent, n_buckets), np.zeros(len(sent), np.int64)
-        for b, x in zip(replies.column("bucket").to_pylist(), replies.column("counts").to_pylist(), strict=True):
-            counts[edges[b] : edges[b + 1]] = np.frombuffer(x, np.int64)
-        c = counts[back]
-        total = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every document has its end at least
+        edges, counts, classes = sh.buckets_of(sent, n_buckets), np.zeros(len(sent), np.int64), np.full(len(sent), NONE, np.uint16)
+        for b, n, k in zip(*(replies.column(x).to_pylist() for x in ("bucket", "counts", "classes")), strict=True):
+            counts[edges[b] : edges[b + 1]], classes[edges[b] : edges[b + 1]] = np.frombuffer(n, np.int64), np.frombuffer(k, np.uint16)
+        c, emit = model.emit(sent, counts, classes)
+        own = c.astype(np.uint16)[back]
+        total = lambda x: np.add.reduceat(x[back], first[:-1])  # noqa: E731  every document has its end at least
         return pa.table(
             {
                 "doc_id": docs.column("id").cast(pa.int64()),
                 "held_out": docs.column("held_out"),
                 "n_tokens": pa.array(np.diff(first), pa.int64()),
-                "n_known": pa.array(total((c > 0).astype(np.int64)), pa.int64()),
+                "n_known": pa.array(total((counts > 0).astype(np.int64)), pa.int64()),
                 "train_tokens": pa.array(np.full(len(first) - 1, model.n_tokens), pa.int64()),
-                "base_score": pa.array(total(model.base(c))),
-                "score": pa.array(total(model.score(h, c))),
+                "base_score": pa.array(total(model.base(counts))),
+                "emitted": pa.array(total(emit)),
+                "classes": pa.array([own[a:z].tobytes() for a, z in zip(first, first[1:], strict=False)], pa.binary()),
             }
         )
 
+    return read
+
+
+def _steps(batch, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class before each token, class of each token, and where each row's begin."""
+    rows = batch.column("classes").to_pylist()
+    c = np.frombuffer(b"".join(rows), np.uint16).astype(np.int64)
+    return np.r_[end, c[:-1]], c, np.cumsum([0, *(len(x) // 2 for x in rows)])  # a document begins after an end
+
+
+def _class_bigrams(n_classes: int, end: int):
+    def run(batches):
+        import pyarrow as pa
+
+        total = np.zeros(n_classes**2, np.int64)
+        for b in batches:
+            if b.num_rows:
+                before, c, _ = _steps(b, end)
+                total += np.bincount(before * n_classes + c, minlength=n_classes**2)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
+
+    return run
+
+
+def _scorer(step: np.ndarray, end: int):
+    def score(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            before, c, first = _steps(b, end)
+            total = np.add.reduceat(step[before, c], first[:-1]) + b.column("emitted").to_numpy()
+            kept = b.schema.names[:6]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(total)], [*kept, "score"])
+
     return score
 
 
-def score_documents(df: DataFrame, id_col: str = "doc_id", text: str = "text", frequent: int = FREQUENT, n_classes: int = CLASSES, part_bytes: int = sh.PART_BYTES) -> DataFrame:
+def score_documents(df: DataFrame, id_col: str = "doc_id", text: str = "text", frequent: int = FREQUENT, n_classes: int = CLASSES, part_bytes: int = sh.PART_BYTES, floor: int = FLOOR) -> DataFrame:
     """Rows of RESULT; perplexity is 10 ** (-score / n_tokens)."""
     n_bytes = sh.text_bytes(df, text)
     n_buckets = sh.bucket_count(n_bytes / 16)
     learn = df.where(~held_out(F.col(id_col))).select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
     counted = count_words(learn, n_buckets)
-    model = train(learn, counted, frequent, n_classes)
+    seed, model, classed = train(learn, counted, n_buckets, frequent, n_classes, floor)
     docs = sh.in_parts(df, id_col, text, sh.part_count(n_bytes, part_bytes)).withColumn("held_out", held_out(F.col("id")))
     parts = docs.groupBy("part")
-    replies = parts.applyInArrow(_ask(n_buckets), sh.REQUEST).groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(_look_up, "part int, bucket int, counts binary")
-    return parts.cogroup(replies.groupBy("part")).applyInArrow(_scorer(model, n_buckets), RESULT)
+    replies = parts.applyInArrow(_ask(n_buckets), sh.REQUEST).groupBy("bucket").cogroup(classed.groupBy("bucket")).applyInArrow(_look_up, "part int, bucket int, counts binary, classes binary")
+    read = sh.cut(parts.cogroup(replies.groupBy("part")).applyInArrow(_reader(model, n_buckets), READ))
+    cells = read.where(~F.col("held_out")).select("classes").mapInArrow(_class_bigrams(n_classes, model.end), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros(n_classes**2)
+    table[cells["cell"].to_numpy(np.int64)] = cells["n"]
+    with np.errstate(divide="ignore"):
+        step = np.log10(_transitions(table.reshape(n_classes, n_classes), seed.used))
+    return read.mapInArrow(_scorer(step, model.end), RESULT)
 
 
 def op10_class_lm(spark, sf_dir: str) -> DataFrame:

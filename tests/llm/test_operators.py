@@ -360,6 +360,15 @@ def test_class_model(spark):
     assert only.held_out and only.train_tokens == 0 and only.base_score == 0.0
 
 
+def test_rare_words_get_classes_of_their_own(spark):
+    rng = random.Random(16)
+    pick = lambda side: f"{side}{rng.randrange(10) if rng.random() < 0.5 else rng.randrange(10, 150)}xx"  # noqa: E731  one shape
+    rows = [" ".join(pick("ab"[k % 2]) for k in range(rng.randrange(20, 60))) for _ in range(150)]
+    out = class_lm.score_documents(frame(spark, rows), frequent=20, n_classes=8).where("held_out").collect()
+    score, base, total = (sum(r[k] for r in out) for k in ("score", "base_score", "n_tokens"))
+    assert 10 ** (-score / total) < 0.6 * 10 ** (-base / total)  # the words that are no seed alternate as well
+
+
 def test_exchange_finds_classes():
     rng = np.random.default_rng(1)
     n = 30
