@@ -18,7 +18,7 @@ sets of five-word shingles have a Jaccard similarity of 0.8 or more. At that
 similarity fingerprints differ by about 10 bits and blocks of bits no longer
 cut the work, so there a shard is the texts that share one of ``KEYS`` minimum
 shingle hashes (a similar pair shares none with a probability of 0.2 ** KEYS),
-the trees are searched to ``WIDE`` bits (a pair at 0.8 is further apart with
+fingerprints are voted over distinct shingles, as the sets are compared, the trees are searched to ``WIDE`` bits (a pair at 0.8 is further apart with
 one of about 0.0002), and every link is verified on the shingle sets.
 
 Defined results: null or wordless text has fingerprint zero and is linked like
@@ -205,7 +205,7 @@ def _sketches(with_sets: bool):
                 hashes = list(shingle_hashes(x.as_py() or b"", WORDS))
                 every = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
                 keys.append([int((every * t).min().view(np.int64)) for t in _TURNS] if len(every) else [])
-                prints.append(majority(hashes))
+                prints.append(majority([every]))  # of the set, as pairs are verified on sets
                 if with_sets:
                     sets.append(np.unique(every.astype(np.uint32)).tobytes())
             fp = pa.array(np.array(prints, np.uint64).view(np.int64), pa.int64())

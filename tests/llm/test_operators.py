@@ -170,6 +170,16 @@ def test_keep_one(spark):
     assert simhash_dedup.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_sees_through_repeated_lines(spark):
+    rng = random.Random(17)
+    rows = []
+    for _ in range(20):
+        text, line = prose(rng, 300, 90_000), prose(rng, 14, 90_000)
+        rows += [f"{text}\n{line}", "\n".join([text] + [line] * 15)]  # sets of shingles differ by what joins two lines
+    kept = simhash_dedup.keep_one(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(0, 40, 2))
+
+
 def test_url_parts_and_rules(spark):
     rows = [(1, "https://Www.Example.ORG/es/1?q", None), (2, "http://a.example.org/en/12#x", None), (3, "http://com/fr/", ""), (4, "http://xcom/fr/", ""), (5, None, None), (6, "no host/fr/", None), (7, "http://b.com?x=/de/", None), (8, "a://h.net://y/de/", None), (8, "http://x.com/de/a b", None)]
     out = sorted(url_trust.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
