@@ -12,7 +12,8 @@ from .functions.phonetics import cologne
 from .plans import blocking, matching, report
 from .sources import records, sinks
 
-SETTINGS = matching.Settings(fuzzy=0.7, confidence=60.0)
+#: Blocks stay whole, as in the SQL.
+SETTINGS = matching.Settings(fuzzy=0.7, confidence=60.0, chunk=None)
 CUT_OFF = "2024-01-15"
 
 

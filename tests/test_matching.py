@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from linkwerk import queries
 from linkwerk.functions import names
 from linkwerk.functions.phonetics import cologne
 from linkwerk.functions.similarity import indel, indel_native, lcs, ratio
@@ -242,3 +243,12 @@ def test_queries_need_no_session():
 
     code = "from linkwerk import queries as q; assert q.queries().keys() == q.oracle_sql().keys() and len(q.queries()) > 25"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[1])
+
+
+def test_queries_keep_large_blocks_whole(spark, tmp_path):
+    letters = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:05d}")
+    # no id of a pair is a multiple of 5, where names are swapped; the two are 10,000 rows apart
+    rows = [(k, f"{letters(k % 10_010 if k > 10_010 else k)} meier", "de", "src1", 11) for k in range(1, 10_014)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.queries()["exact_matches"](spark, str(tmp_path)).collect()
+    assert {(r.record_a, r.record_b) for r in found} == {(1, 10_011), (2, 10_012), (3, 10_013)}
