@@ -19,6 +19,12 @@ each, 0.8 or more must occur in the document. A part shorter than five words is
 one shingle. A document that passes holds a piece of which at least 0.8 of the
 shingles are whole, so well over ``REACH`` of its pairs.
 
+One changed word kills five shingles, which a short part does not survive. The
+stage for training data (``clean``) therefore also takes an item as held if 0.8
+of all its shingles occur, or 0.8 of its question's where that has ``ALONE``
+words or more; for that, questions are pieces of their own too. The contract
+query keeps to the rule of its SQL.
+
 A block of ``BLOCK_PIECES`` pieces at most is sent to all tasks at a time, which
 bounds what is broadcast; more pieces take more passes.
 
@@ -44,6 +50,8 @@ K1, B = 1.2, 0.75
 PIECE = PASSAGE // 2
 REACH = 0.5
 SHINGLE, SIMILAR = 5, 0.8
+#: Words of a question from which it counts without its answer.
+ALONE = 10
 STRETCH = 32
 BLOCK_PIECES = 20_000
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -67,10 +75,15 @@ def _shingles(words: list[bytes]) -> set[bytes]:
     return {b" ".join(words[k : k + SHINGLE]) for k in range(max(1, len(words) - SHINGLE + 1))} if words else set()
 
 
+def question(text: str) -> str:
+    """All sentences but the last."""
+    cuts = [m.end() for m in re.finditer(r"[.?!]\s+", text)]
+    return text[: cuts[-1]] if cuts else ""
+
+
 def question_and_answer(text: str) -> list[set[bytes]]:
     """Shingles of all sentences but the last, and of the last."""
-    cuts = [m.end() for m in re.finditer(r"[.?!]\s+", text)]
-    at = cuts[-1] if cuts else 0
+    at = len(question(text))
     return [s for s in (_shingles(tokens(text[:at])), _shingles(tokens(text[at:]))) if s]
 
 
@@ -87,12 +100,18 @@ def pieces(text: str) -> list[list[bytes]]:
 class Index:
     """Inverted index of pieces by term hash, with the maxima that WAND needs."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.whose, docs, self.parts = [], [], [], []
+    def __init__(self, items: list[tuple[int, str]], near: bool = False):
+        self.ids, self.whose, docs, self.parts, self.any = [], [], [], [], []
         for k, (item, text) in enumerate(items):
             self.ids.append(item)
             self.parts.append(question_and_answer(text or ""))
-            for words in pieces(text or ""):
+            own = pieces(text or "")
+            self.any.append([])
+            if near and own:
+                alone = question(text)
+                self.any[-1] = [_shingles(tokens(text)), *([_shingles(tokens(alone))] if len(tokens(alone)) >= ALONE else [])]
+                own = own + (pieces(alone) if len(self.any[-1]) > 1 else [])
+            for words in own:
                 self.whose.append(k)
                 docs.append(_pairs(words))
         self.n = len(docs)
@@ -181,6 +200,10 @@ def _candidates(index: Index, term: np.ndarray, first: np.ndarray) -> dict[int,
     return out
 
 
+def _held(parts: list[set[bytes]], there: set[bytes], how) -> bool:
+    return how(len(p & there) >= SIMILAR * len(p) for p in parts)
+
+
 def _finder(handle):
     def run(batches):
         import pyarrow as pa
@@ -199,30 +222,30 @@ def _finder(handle):
                 for d, items in _candidates(index, term, first).items():
                     words = tokens(b.column("body")[d].as_py().decode("utf-8", "replace"))
                     there = _shingles(words) | {b" ".join(words[k : k + m]) for m in range(1, SHINGLE) for k in range(len(words) - m + 1)}
-                    found[d] = sorted({index.ids[i] for i in {index.whose[x] for x in items} if all(len(p & there) >= SIMILAR * len(p) for p in index.parts[i])})
+                    found[d] = sorted({index.ids[i] for i in {index.whose[x] for x in items} if _held(index.parts[i], there, all) or _held(index.any[i], there, any)})
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())) if n == "items" else b.column(n) for n in [*b.schema.names, "items"] if n != "body"], [*(n for n in b.schema.names if n != "body"), "items"])
 
     return run
 
 
-def item_blocks(items: DataFrame, id_col: str, text: str, block: int = BLOCK_PIECES):
+def item_blocks(items: DataFrame, id_col: str, text: str, block: int = BLOCK_PIECES, near: bool = False):
     """Indexes of about ``block`` pieces each. Items stream through the driver, one block held at a time."""
     held, n = [], 0
     for row in items.select(id_col, text).orderBy(id_col, text).toLocalIterator():
         held.append((row[0], row[1]))
         n += len(pieces(row[1] or ""))
         if n >= block:
-            yield Index(held)
+            yield Index(held, near)
             held, n = [], 0
     if held:
-        yield Index(held)
+        yield Index(held, near)
 
 
-def with_items(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``df`` with column items: ascending ids of the test items it holds."""
+def with_items(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", near: bool = False) -> DataFrame:
+    """``df`` with column items: ascending ids of the test items it holds, near copies and questions alone too if ``near``."""
     out, added = df, []
     spark = df.sparkSession
-    for k, index in enumerate(item_blocks(items, item_id, item_text)):
+    for k, index in enumerate(item_blocks(items, item_id, item_text, near=near)):
         handle = spark.sparkContext.broadcast(index)
         own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
         out = out.withColumn("body", F.coalesce(F.col(text), F.lit("")).cast("binary")).mapInArrow(_finder(handle), f"{own}, items array<bigint>").withColumnRenamed("items", f"__items{k}")
@@ -238,8 +261,8 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
 
 
 def clean(df: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``df`` that hold no test item."""
-    return with_items(df, items).where(F.size("__items") == 0).drop("__items")
+    """The rows of ``df`` that hold no test item, no near copy of one and no question alone."""
+    return with_items(df, items, near=True).where(F.size("__items") == 0).drop("__items")
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

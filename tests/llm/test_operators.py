@@ -331,6 +331,15 @@ def test_decontamination(spark):
     assert len(list(decontamination.item_blocks(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 2))) >= 3
 
 
+def test_clean_drops_near_copies_of_items(spark):
+    rng = random.Random(18)
+    item = [*prose(rng, 40, 3000).split(), "end.", *prose(rng, 6, 3000).split()]
+    copies = [" ".join([prose(rng, 90, 3000), *item[:k], "changed", *item[k + 1 :], prose(rng, 90, 3000)]) for k in range(len(item)) if k != 40]
+    rows = [*copies, prose(rng, 90, 3000) + " " + " ".join(item[:41]), prose(rng, 200, 3000), prose(rng, 90, 3000) + " " + " ".join(item[:15])]
+    clean = decontamination.clean(frame(spark, rows), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert sorted(r.doc_id for r in clean.collect()) == [len(rows) - 2, len(rows) - 1]
+
+
 def test_wand_finds_what_scoring_all_finds():
     rng = random.Random(13)
     index = decontamination.Index([(k, prose(rng, rng.randrange(4, 30), 40)) for k in range(300)])
