@@ -7,7 +7,9 @@ of a language without such documents does not exist. A document's divergence is
 the Jensen-Shannon distance (base 2, 0 to 1) to the closest reference. It is
 rejected if the character distance exceeds ``MOST_CHARS`` and the document has
 ``MIN_CHARS`` characters or more, or the word distance exceeds ``MOST_WORDS``
-and it has ``MIN_WORDS`` words or more: short texts stray by chance.
+and it has ``MIN_WORDS`` words or more: short texts stray by chance. The stage
+for training data (``keep``) also rejects texts of ``LEAST_WORDS`` words or more
+beyond ``MOST_SHORT``; the contract query keeps to the rule of its SQL.
 
 The base rules count words in repeated three-word windows. Windows are compared
 by 64-bit hashes cut to leave room for their place, so that a plain sort of
@@ -42,6 +44,8 @@ WORDS = sorted({w for own in COMMON.values() for w in own})
 CLASSES = {"upper": "[^A-Z]+", "digit": "[^0-9]+", "stop": "[^.,;:!?'\"()-]+", "symbol": "[^#*$%&|<>@\\\\^_=+/~{}\\[\\]]+", "wide": "[\\x00-\\x7F]+"}
 MIN_CHARS, MIN_WORDS = 200, 150
 MOST_CHARS, MOST_WORDS = 0.30, 0.25
+#: Most word distance of the stage for texts of LEAST_WORDS to MIN_WORDS words.
+MOST_SHORT = 0.30
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 
@@ -139,9 +143,10 @@ def base_failed(f: Column) -> Column:
     return (f["n_words"] < LEAST_WORDS) | (100 * f["n_repeat_words"] > MOST_REPEATED * f["n_words"])
 
 
-def rejected(f: Column, refs: dict) -> Column:
+def rejected(f: Column, refs: dict, short: bool = False) -> Column:
     chars, words = distances(f, refs)
-    return base_failed(f) | ((f["n_chars"] >= MIN_CHARS) & (chars > MOST_CHARS)) | ((f["n_words"] >= MIN_WORDS) & (words > MOST_WORDS))
+    strays = (f["n_words"] >= LEAST_WORDS) & (words > MOST_SHORT) if short else F.lit(False)
+    return strays | base_failed(f) | ((f["n_chars"] >= MIN_CHARS) & (chars > MOST_CHARS)) | ((f["n_words"] >= MIN_WORDS) & (words > MOST_WORDS))
 
 
 def judge(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -156,7 +161,7 @@ def keep(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``df`` that pass; texts are read twice, for the references and for the verdict."""
     f = features(F.col(text), base=False)
     refs = references(df, f, F.col(lang))
-    return df.where(sh.let(f, lambda x: ~rejected(x, refs)))
+    return df.where(sh.let(f, lambda x: ~rejected(x, refs, short=True)))
 
 
 def op4_quality_divergence(spark, sf_dir: str) -> DataFrame:

@@ -225,6 +225,15 @@ def test_quality(spark):
     assert quality_divergence.judge(frame(spark, good[:2], langs={0: None, 1: "xx"})).where("kept").count() == 2
 
 
+def test_keep_rejects_short_lists(spark):
+    rng = random.Random(19)
+    common = quality_divergence.COMMON["en"]
+    word = lambda: "".join(rng.choice("abcdefghilmnorst") for _ in range(rng.randrange(2, 9)))
+    clean = lambda n: " ".join(rng.choice(common) if rng.random() < 0.4 else word() for _ in range(n))
+    rows = [clean(200) for _ in range(30)] + [clean(100) for _ in range(10)] + [" | ".join(word() for _ in range(n)) for n in (30, 45, 60)]
+    assert sorted(r.doc_id for r in quality_divergence.keep(frame(spark, rows)).collect()) == list(range(40))
+
+
 def _covered(seqs, n):
     c = Counter(tuple(s[k : k + n]) for s in seqs for k in range(len(s) - n + 1))
     return [{j for k in range(len(s) - n + 1) if c[tuple(s[k : k + n])] > 1 for j in range(k, k + n)} for s in seqs]
