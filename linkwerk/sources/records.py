@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import numbered
+
 FIELDS = ["Vorname", "Name", "Name2", "Strasse", "HausNummer", "Plz", "Ort", "Crefo", "Geburtstag", "Jahrgang", "Quelle_95"]
 NEEDED = ["Vorname", "Name", "Strasse", "Plz"]
 LAG_DAYS = 7
+SYLLABLES = ["ba", "do", "fi", "ge", "ka", "lu", "mi", "no", "ra", "se", "ti", "wo"]
 
 
 def canonical(df: DataFrame, key: str | None = None) -> DataFrame:
     """row_id, FIELDS as text and Erfasst as a timestamp; columns that are missing become null.
 
     Rows are numbered by ``key`` (unique; a number is taken as it is). Without a
-    key the order is that of all fields, which needs one sort of the table.
+    key the order is that of all fields: one sort by ranges, each numbered by itself.
     """
     if missing := [c for c in NEEDED if c not in df.columns]:
         raise ValueError(f"columns are missing: {', '.join(missing)}")
@@ -23,8 +26,11 @@ def canonical(df: DataFrame, key: str | None = None) -> DataFrame:
     when = (F.col("Erfasst").cast("timestamp") if "Erfasst" in df.columns else F.lit(None).cast("timestamp")).alias("Erfasst")
     if key is not None and dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
         return df.select(F.col(key).cast("long").alias("row_id"), *fields, when)
-    order = [F.col(key)] if key is not None else [text(c) for c in FIELDS]
-    return df.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("long").alias("row_id"), *fields, when)
+    if key is not None:
+        order, rows = ["key"], df.select(F.col(key).alias("key"), *fields, when)
+    else:
+        order, rows = FIELDS, df.select(*fields, when)
+    return numbered(rows, [F.col(c) for c in order], "row_id").select("row_id", *FIELDS, "Erfasst")
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -56,27 +62,32 @@ def load(spark: SparkSession, url: str, table: str, limit: int | None = None, ne
 
 
 def synthetic(spark: SparkSession, n: int, seed: int = 42, copies: float = 0.1) -> DataFrame:
-    """n made-up records and a share of copies, of which 30 % have the first name reversed."""
-    pools = {
-        "Vorname": ["Max", "Anna", "Peter", "Maria", "Hans", "Lisa", "Thomas", "Julia"],
-        "Name": ["Müller", "Schmidt", "Weber", "Fischer", "Wagner", "Becker", "Koch"],
-        "Strasse": ["Hauptstraße", "Bahnhofstr.", "Gartenweg", "Schulstrasse", "Lindenallee"],
-        "Ort": ["Berlin", "Hamburg", "München", "Köln", "Frankfurt"],
-    }
+    """n made-up records and a share of copies, each with one of four faults.
+
+    Names are syllables put together. A copy has two letters of the last name
+    exchanged, first and last name exchanged, another address, or no house number.
+    """
     draw = lambda salt, m: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(salt)), F.lit(m)).cast("int")
-    pick = lambda c: F.element_at(F.array(*map(F.lit, pools[c])), draw(c, len(pools[c])) + 1)
+    pick = lambda salt, pool: F.element_at(F.array(*map(F.lit, pool)), draw(salt, len(pool)) + 1)
+    word = lambda salt, k: F.initcap(F.concat(*(pick(f"{salt}{i}", SYLLABLES) for i in range(k))))
+    address = lambda salt: {"Strasse": F.concat(word(f"street{salt}", 2), pick(f"way{salt}", ["weg", "str.", "platz", "straße"])), "HausNummer": (draw(f"house{salt}", 60) + 1).cast("string"), "Plz": F.lpad(draw(f"plz{salt}", 99_000).cast("string"), 5, "0"), "Ort": F.concat(word(f"town{salt}", 1), pick(f"end{salt}", ["au", "dorf", "tal"]))}
     rows = spark.range(n).select(
         F.col("id"),
-        *(pick(c).alias(c) for c in pools),
+        word("first", 2).alias("Vorname"),
+        F.concat(word("last", 2), F.lit("r")).alias("Name"),
         F.lit("").alias("Name2"),
-        (draw("number", 100) + 1).cast("string").alias("HausNummer"),
-        (draw("plz", 90000) + 10000).cast("string").alias("Plz"),
-        F.format_string("%d-%02d-%02d", draw("year", 50) + 1950, draw("month", 12) + 1, draw("day", 28) + 1).alias("Geburtstag"),
+        *(c.alias(k) for k, c in address("").items()),
+        F.date_add(F.lit("1930-01-01").cast("date"), draw("born", 25_000)).cast("string").alias("Geburtstag"),
         F.lit(None).cast("string").alias("Jahrgang"),
-        F.format_string("%08d", "id").alias("Crefo"),
+        F.concat(F.lit("C"), F.col("id")).alias("Crefo"),
     )
-    again = rows.where(draw("copy", 1000) < int(copies * 1000)).withColumn("Vorname", F.when(draw("turn", 10) < 3, F.reverse("Vorname")).otherwise(F.col("Vorname")))
-    return canonical(rows.union(again.withColumn("id", F.col("id") + n)), "id")
+    fault = draw("fault", 4)
+    slip = F.concat(F.substring("Name", 1, 2), F.substring("Name", 4, 1), F.substring("Name", 3, 1), F.substring("Name", 5, 99))
+    turned = {"Vorname": F.when(fault == 1, F.col("Name")).otherwise(F.col("Vorname")), "Name": F.when(fault == 0, slip).when(fault == 1, F.col("Vorname")).otherwise(F.col("Name"))}
+    moved = {k: F.when(fault == 2, c).otherwise(F.col(k)) for k, c in address("new").items()}
+    moved["HausNummer"] = F.when(fault == 3, F.lit("")).otherwise(moved["HausNummer"])
+    again = rows.where(draw("copy", 1000) < int(copies * 1000)).withColumns({**turned, **moved}).withColumn("id", F.col("id") + n)
+    return canonical(rows.union(again), "id")
 
 
 def from_documents(docs: DataFrame) -> DataFrame:
