@@ -15,13 +15,13 @@ part however often it occurs there, which is what bounds a hot one.
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import cut, fresh, numbered, remove, scratch  # noqa: F401
+
 #: Bytes of text in a part: a worker holds a few times as much.
 PART_BYTES = 4_000_000
 #: Distinct hashes that a bucket merges at once, about.
@@ -30,25 +30,6 @@ BUCKET_HASHES = 2_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where that is unset (tests), a temporary folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkwerk-"))
-    return context.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and cut from its lineage by a checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A path for a table in the shared folder, new at each call. It goes with that folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once for the row."""
     return F.transform(F.array(value), body)[0]
