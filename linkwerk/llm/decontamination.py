@@ -11,13 +11,17 @@ and the stretches' maxima then decide whether it is scored or skipped. Passages
 whose terms cannot add up to the threshold at all have no pivot; that is
 decided for all passages of a batch at once before any cursor moves.
 
-A piece's threshold is the share ``REACH`` of the score that its own words get;
-scores are divided by it, so the threshold is 1 for all. Items with a retrieved
-piece are verified in the whole document: of the five-word shingles of the
-question (all but the last sentence) and of the answer (the last sentence)
-each, 0.8 or more must occur in the document. A part shorter than five words is
-one shingle. A document that passes holds a piece of which at least 0.8 of the
-shingles are whole, so well over ``REACH`` of its pairs.
+A piece's threshold is what its cheapest shingle scores: the least sum of the
+weights of the pairs in five words of the piece that follow each other. Scores
+are divided by it, so the threshold is 1 for all, and a passage that holds any
+whole shingle of a piece retrieves it. Items with a retrieved piece are verified
+in the whole document: of the five-word shingles of the question (all but the
+last sentence) and of the answer (the last sentence) each, 0.8 or more must
+occur in the document. A part shorter than five words is one shingle. Retrieval
+loses no document that verification would accept: the longer part of an item of
+several pieces has 17 words at least, so of its shingles that are found one lies
+within a piece (borders cut 4 each, and 0.2 may be missing), and it lies within
+a passage.
 
 One changed word kills five shingles, which a short part does not survive. The
 stage for training data (``clean``) therefore also takes an item as held if 0.8
@@ -25,12 +29,15 @@ of all its shingles occur, or 0.8 of its question's where that has ``ALONE``
 words or more; for that, questions are pieces of their own too. The contract
 query keeps to the rule of its SQL.
 
-A block of ``BLOCK_PIECES`` pieces at most is sent to all tasks at a time, which
-bounds what is broadcast; more pieces take more passes.
+Statistics (document frequencies, mean length) are those of all pieces. Indexes
+of ``BLOCK_PIECES`` pieces at most are sent to all tasks, one at a time: with
+more pieces each block is a pass whose result is written before the next block
+is sent, so one index is held at any time.
 
 Defined results: null text counts as empty and matches nothing; items of fewer
-than two words match nothing; repeated rows repeat their result; empty tables
-give an empty result; extra columns are ignored.
+than two words match nothing, as a single word is no overlap; repeated rows
+repeat their result; empty tables give an empty result; extra columns are
+ignored or kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,6 +48,7 @@ from bisect import bisect_left
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import bytehash as bh
 from . import shared as sh
@@ -48,7 +56,6 @@ from . import shared as sh
 PASSAGE = 64
 K1, B = 1.2, 0.75
 PIECE = PASSAGE // 2
-REACH = 0.5
 SHINGLE, SIMILAR = 5, 0.8
 #: Words of a question from which it counts without its answer.
 ALONE = 10
@@ -97,40 +104,53 @@ def pieces(text: str) -> list[list[bytes]]:
     return [w for w in own if len(w) > 1]
 
 
+def pieces_of(text: str, near: bool = False) -> tuple[list[list[bytes]], list[set[bytes]]]:
+    """An item's pieces and, if ``near``, the sets of shingles of which any suffices."""
+    own = pieces(text)
+    if not near or not own:
+        return own, []
+    alone = question(text)
+    long = len(tokens(alone)) >= ALONE
+    return own + (pieces(alone) if long else []), [_shingles(tokens(text)), *([_shingles(tokens(alone))] if long else [])]
+
+
 class Index:
-    """Inverted index of pieces by term hash, with the maxima that WAND needs."""
+    """Inverted index of pieces by term hash, with the maxima that WAND needs.
+
+    stats: number of pieces, their mean length and how many hold a term, over
+    all blocks; without, those of the items given.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], near: bool = False):
+    def __init__(self, items: list[tuple[int, str]], near: bool = False, stats: tuple[int, float, dict[int, int]] | None = None):
         self.ids, self.whose, docs, self.parts, self.any = [], [], [], [], []
         for k, (item, text) in enumerate(items):
             self.ids.append(item)
             self.parts.append(question_and_answer(text or ""))
-            own = pieces(text or "")
-            self.any.append([])
-            if near and own:
-                alone = question(text)
-                self.any[-1] = [_shingles(tokens(text)), *([_shingles(tokens(alone))] if len(tokens(alone)) >= ALONE else [])]
-                own = own + (pieces(alone) if len(self.any[-1]) > 1 else [])
+            own, any_ = pieces_of(text or "", near)
+            self.any.append(any_)
             for words in own:
                 self.whose.append(k)
                 docs.append(_pairs(words))
         self.n = len(docs)
-        mean = sum(map(len, docs)) / max(1, self.n)
         lists: dict[int, list[tuple[int, int]]] = {}
         for d, terms in enumerate(docs):
             for t in set(terms):
                 lists.setdefault(t, []).append((d, terms.count(t)))
+        n, mean, held = stats or (self.n, sum(map(len, docs)) / max(1, self.n), {t: len(x) for t, x in lists.items()})
         self.terms = np.array(sorted(lists), np.uint64)
-        self.best, full, scored = np.zeros(len(lists)), np.zeros(self.n), []
+        self.best, weights, scored = np.zeros(len(lists)), [{} for _ in docs], []
         for t in self.terms.tolist():
             d, tf = (np.array(x) for x in zip(*lists[t], strict=True))
-            idf = np.log(1 + (self.n - len(d) + 0.5) / (len(d) + 0.5))
+            idf = np.log(1 + (n - held[t] + 0.5) / (held[t] + 0.5))
             length = np.array([len(docs[x]) for x in d])
             scored.append((d, idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))))
-            full[d] += scored[-1][1]
+            for x, w in zip(d.tolist(), scored[-1][1].tolist(), strict=True):
+                weights[x][t] = w
+        span = SHINGLE - 1  # pairs of a shingle
+        need = np.array([min(sum(w[t] for t in set(terms[k : k + span])) for k in range(max(1, len(terms) - span + 1))) for terms, w in zip(docs, weights, strict=True)])
         self.postings = []
         for k, (d, score) in enumerate(scored):
-            score = score / (REACH * full[d])
+            score = score / need[d]
             peaks = np.maximum.reduceat(score, np.arange(0, len(score), STRETCH))
             self.best[k] = score.max()
             self.postings.append((d.tolist(), score.tolist(), peaks.tolist(), d[np.minimum(np.arange(STRETCH, len(d) + STRETCH, STRETCH), len(d)) - 1].tolist()))
@@ -204,14 +224,15 @@ def _held(parts: list[set[bytes]], there: set[bytes], how) -> bool:
     return how(len(p & there) >= SIMILAR * len(p) for p in parts)
 
 
-def _finder(handle):
+def _finder(handle, at_text: int):
     def run(batches):
         import pyarrow as pa
 
         index = handle.value
         for b in batches:
             found: list[list[int]] = [[] for _ in range(b.num_rows)]
-            data, offsets = sh.bodies(pa.table({"body": b.column("body")}))
+            body = b.column(at_text).cast(pa.binary()).fill_null(b"")
+            data, offsets = sh.bodies(pa.table({"body": body}))
             data = bh.LOWER[data]
             starts, ends, first = bh.word_bounds(data, offsets, bh.ALNUM)
             h = bh.windows(bh.spans(data, starts, ends), 2)
@@ -220,49 +241,78 @@ def _finder(handle):
                 term = np.full(len(starts), -1)
                 term[:-1] = np.where((index.terms[at] == h) & bh.within(first, 2, len(starts)), at, -1)
                 for d, items in _candidates(index, term, first).items():
-                    words = tokens(b.column("body")[d].as_py().decode("utf-8", "replace"))
+                    words = tokens(body[d].as_py().decode("utf-8", "replace"))
                     there = _shingles(words) | {b" ".join(words[k : k + m]) for m in range(1, SHINGLE) for k in range(len(words) - m + 1)}
                     found[d] = sorted({index.ids[i] for i in {index.whose[x] for x in items} if _held(index.parts[i], there, all) or _held(index.any[i], there, any)})
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())) if n == "items" else b.column(n) for n in [*b.schema.names, "items"] if n != "body"], [*(n for n in b.schema.names if n != "body"), "items"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int64()))], [str(k) for k in range(b.num_columns + 1)])
+
+    return run
+
+
+def _counter(near: bool):
+    """Pieces and their lengths under term null, then the pieces that hold each term."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            docs = [_pairs(w) for x in b.column("text") for w in pieces_of(x.as_py() or "", near)[0]]
+            terms, n = np.unique(np.array([t for d in docs for t in set(d)], np.uint64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([None, *terms.view(np.int64).tolist()], pa.int64()), pa.array([len(docs), *n.tolist()], pa.int64()), pa.array([sum(map(len, docs)), *([0] * len(n))], pa.int64())], ["term", "n", "pairs"])
 
     return run
 
 
 def item_blocks(items: DataFrame, id_col: str, text: str, block: int = BLOCK_PIECES, near: bool = False):
-    """Indexes of about ``block`` pieces each. Items stream through the driver, one block held at a time."""
-    held, n = [], 0
+    """Indexes of about ``block`` pieces each, and whether it is the last. Items stream through the driver, one block held at a time."""
+    spark = items.sparkSession
+    counted = sh.cut(items.select(F.col(text).alias("text")).mapInArrow(_counter(near), "term long, n long, pairs long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pairs").alias("pairs")))
+    n, pairs = next(((r.n, r.pairs) for r in counted.where("term IS NULL").collect()), (0, 0))
+
+    def index(held):
+        terms = sorted({t for _, x in held for w in pieces_of(x or "", near)[0] for t in _pairs(w)})
+        own = spark.createDataFrame([(t - (1 << 64) if t >> 63 else t,) for t in terms], "term long")
+        known = {r.term % (1 << 64): r.n for r in counted.join(own, "term", "left_semi").collect()}  # of one block
+        return Index(held, near, (n, pairs / max(1, n), known))
+
+    held, size, left = [], 0, n
     for row in items.select(id_col, text).orderBy(id_col, text).toLocalIterator():
-        held.append((row[0], row[1]))
-        n += len(pieces(row[1] or ""))
-        if n >= block:
-            yield Index(held, near)
-            held, n = [], 0
-    if held:
-        yield Index(held, near)
-
-
-def with_items(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", near: bool = False) -> DataFrame:
-    """``df`` with column items: ascending ids of the test items it holds, near copies and questions alone too if ``near``."""
-    out, added = df, []
-    spark = df.sparkSession
-    for k, index in enumerate(item_blocks(items, item_id, item_text, near=near)):
+        own = len(pieces_of(row[1] or "", near)[0])
+        if own:
+            held.append((row[0], row[1]))
+            size, left = size + own, left - own
+        if held and (size >= block or not left):
+            yield Index(held, near) if size == n else index(held), not left
+            held, size = [], 0
+
+
+def with_items(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", near: bool = False, block: int = BLOCK_PIECES) -> tuple[DataFrame, str]:
+    """``df`` with a column, named second: ascending ids of the test items it holds, near copies and questions alone too if ``near``."""
+    spark, columns = df.sparkSession, df.columns
+    name, added = sh.fresh("items", columns), sh.fresh("more_items", [*columns, sh.fresh("items", columns)])
+    empty = F.array().cast("array<bigint>")
+    out = df.withColumn(name, empty)
+    for index, last in item_blocks(items, item_id, item_text, block, near):
         handle = spark.sparkContext.broadcast(index)
-        own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-        out = out.withColumn("body", F.coalesce(F.col(text), F.lit("")).cast("binary")).mapInArrow(_finder(handle), f"{own}, items array<bigint>").withColumnRenamed("items", f"__items{k}")
-        added.append(f"__items{k}")
-    found = F.array_distinct(F.flatten(F.array(*map(F.col, added)))) if added else F.array().cast("array<bigint>")
-    return out.select(*(F.col(f"`{c}`") for c in df.columns), F.sort_array(found).alias("__items"))
+        schema = T.StructType([*out.schema.fields, T.StructField(added, T.ArrayType(T.LongType()))])
+        out = out.mapInArrow(_finder(handle, columns.index(text)), schema)
+        out = out.select(*(F.col(f"`{c}`") for c in columns), F.array_sort(F.array_union(F.col(name), F.coalesce(F.col(added), empty))).alias(name))
+        if not last:
+            out = sh.cut(out)
+            handle.destroy()
+    return out, name
 
 
 def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_items, item_ids) of every document that holds a test item."""
-    own = with_items(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")), items)
-    return own.where(F.size("__items") > 0).select("doc_id", F.size("__items").cast("long").alias("n_items"), F.concat_ws(",", F.col("__items").cast("array<string>")).alias("item_ids"))
+    own, found = with_items(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")), items)
+    return own.where(F.size(found) > 0).select("doc_id", F.size(found).cast("long").alias("n_items"), F.concat_ws(",", F.col(found).cast("array<string>")).alias("item_ids"))
 
 
-def clean(df: DataFrame, items: DataFrame) -> DataFrame:
+def clean(df: DataFrame, items: DataFrame, text: str = "text", block: int = BLOCK_PIECES) -> DataFrame:
     """The rows of ``df`` that hold no test item, no near copy of one and no question alone."""
-    return with_items(df, items, near=True).where(F.size("__items") == 0).drop("__items")
+    own, found = with_items(df, items, text, near=True, block=block)
+    return own.where(F.size(found) == 0).drop(found)
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -406,3 +406,128 @@ def test_exchange_finds_classes():
         counts[a, (rng.integers(n // 3) * 3 + (a + 1) % 3)] += 1
     own = class_lm.exchange(counts, 4, 20)
     assert all(len({int(own[k]) for k in range(n) if k % 3 == m}) == 1 for m in range(3)) and len(set(own[:n].tolist())) == 3
+
+
+#: Names that operators use inside, in the schema or a plan of theirs.
+INSIDE = ["body", "items", "more_items", "copy", "which", "of", "mix", "own", "first", "place", "n", "key", "choice", "size", "hashes", "bits", "bucket", "level", "label", "ref", "host", "kind", "range_no", "m", "row", "f", "id", "copies", "__node", "keys", "shingles", "root", "who", "fingerprint", "component_id"]
+
+
+def clashing(df):
+    from pyspark.sql import functions as F
+
+    return df.withColumns({c: F.lit(1) for c in INSIDE if c not in df.columns})
+
+
+def test_extra_columns_do_not_matter(spark):
+    rows = [t for t in texts() if t is None or len(t) < 20_000]
+    df = frame(spark, [*rows, "under the mit license password=abcdefgh12345 " + rows[0]])
+    items = spark.createDataFrame([(1, " ".join(rows[0].split()[:40]))], "item_id long, text string")
+    more = clashing(items)
+    for f in (
+        license_scan.scan,
+        simhash_dedup.near_duplicates,
+        quality_divergence.judge,
+        lambda d: doubling_dedup.remove_repeats(d),
+        secret_scan.scan,
+        source_mixing.mix,
+        lambda d: decontamination.contaminated(d, more),
+        lambda d: bwt_dedup.remove_repeats(d),
+        lambda d: class_lm.score_documents(d, frequent=20, n_classes=4).drop("score"),
+    ):
+        key = lambda r: repr(tuple(r))
+        assert sorted(f(df).collect(), key=key) == sorted(f(clashing(df)).collect(), key=key)
+    for f in (quality_divergence.keep, simhash_dedup.keep_one, lambda d: decontamination.clean(d, more), secret_scan.mask):
+        plain, odd = f(df), f(clashing(df))
+        assert odd.columns == clashing(df).columns and sorted(r.doc_id for r in plain.collect()) == sorted(r.doc_id for r in odd.collect())
+    odd = source_mixing.sample(clashing(df))
+    assert odd.columns == [*clashing(df).columns, "_copy"] and odd.count() == source_mixing.sample(df).count()
+    pages = spark.createDataFrame([(1, "http://a.com/de/", None), (2, "http://b.net/", '<a href="//a.com/x">')], "page_id long, url string, html string")
+    assert sorted(url_trust.judge(pages).collect()) == sorted(url_trust.judge(clashing(pages).drop("host").withColumn("host", pages.url).withColumn("__bad", pages.url)).collect())
+
+
+def test_equal_rows_are_drawn_apart(spark):
+    df = frame(spark, ["a b c d"] * 1000, ids=[7] * 1000)
+    for d in (df, df.repartition(5)):
+        out = source_mixing.mix(d).collect()
+        assert {r.target for r in out} == {6000.0} and abs(sum(r.taken for r in out) - 6000) < 60 and {r.taken for r in out} == {4, 8}
+
+
+def test_repeated_windows_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    from linkwerk.llm import shared
+
+    rng = random.Random(3)
+    rows = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(40))) for _ in range(60)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows)], "k int, t string")
+    for spare in (0, 57):  # 57: hardly a bit of the hash is left, so most texts are counted again by words
+        got = {r.k: r.n for r in df.select("k", shared.let(shared.words(F.col("t")), lambda w, s=spare: quality_divergence._repeat_words(w, s)).alias("n")).collect()}
+        for k, t in enumerate(rows):
+            w = t.split()
+            c = Counter(zip(w, w[1:], w[2:], strict=False))
+            assert got[k] == len({j for i in range(len(w) - 2) if c[w[i], w[i + 1], w[i + 2]] > 1 for j in (i, i + 1, i + 2)})
+
+
+def test_other_languages_are_their_own_reference(spark):
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(2, 9)))
+    common = quality_divergence.COMMON["en"]
+    english = [" ".join(rng.choice(common) if rng.random() < 0.4 else word("abcdefghilmnorst") for _ in range(200)) for _ in range(20)]
+    russian = [" ".join(word("абвгдежзиклмнопрст") for _ in range(200)) for _ in range(10)]
+    polish = [" ".join(word("aąbcćdeęfghijklłmnńoóprsśtuwyzźż") for _ in range(200)) for _ in range(10)]
+    df = frame(spark, [*english, *russian, *polish, "*** %%% word " * 70], langs={k: "ru" if k < 30 else None if k < 40 else "en" for k in range(20, 41)})
+    assert {r.doc_id for r in quality_divergence.judge(df).where("kept").collect()} == set(range(40))
+    assert {r.doc_id for r in quality_divergence.keep(df).collect()} == set(range(40))
+
+
+def test_retrieval_loses_nothing_that_verification_accepts(spark):
+    rng = random.Random(22)
+    items = [(k, prose(rng, rng.choice([3, 8, 30, 70]), 60) + ". " + prose(rng, rng.choice([1, 2, 5, 40]), 60) + ".") for k in range(40)]
+    rows = []
+    for _, text in items:  # an item's shingles, each in a place of its own, in any order, some left out
+        w = decontamination.tokens(text)
+        own = [b" ".join(w[k : k + 5]).decode() for k in range(max(1, len(w) - 4)) if rng.random() > 0.1]
+        rng.shuffle(own)
+        rows.append((" " + prose(rng, 70, 10**6) + " ").join(own))
+        rows.append(prose(rng, rng.randrange(200), 60))
+    got = {r.doc_id: r.item_ids for r in decontamination.contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = {}
+    for d, row in enumerate(rows):
+        w = decontamination.tokens(row)
+        there = {b" ".join(w[k : k + m]) for m in range(1, 6) for k in range(len(w) - m + 1)}
+        held = [k for k, text in items if all(len(p & there) >= 0.8 * len(p) for p in decontamination.question_and_answer(text))]
+        if held:
+            want[d] = ",".join(map(str, held))
+    assert got == want and len(want) > 10
+
+
+def test_blocks_of_items_share_their_statistics(spark):
+    rng = random.Random(23)
+    items = spark.createDataFrame([(k, prose(rng, 40, 300) + ". " + prose(rng, 12, 300) + ".") for k in range(60)], "item_id long, text string")
+    whole, parts = ([i for i, _ in decontamination.item_blocks(items, "item_id", "text", n)] for n in (10**6, 20))
+    assert len(whole) == 1 and len(parts) > 4
+    scores = lambda index: sorted((index.ids[index.whose[d]], t, round(s, 9)) for t, p in zip(index.terms.tolist(), index.postings, strict=True) for d, s in zip(*p[:2], strict=True))
+    assert scores(whole[0]) == sorted(x for i in parts for x in scores(i))
+    rows = [r.text for r in items.collect()] + [prose(rng, 300, 300)]
+    found = [sorted(map(tuple, decontamination.with_items(frame(spark, rows).select("doc_id", "text"), items, block=n)[0].collect())) for n in (10**6, 20)]
+    assert found[0] == found[1] and [r[2] for r in found[0]] == [*([k] for k in range(60)), []]
+
+
+def test_ranks_against_plain_iteration(spark):
+    rng = random.Random(24)
+    hosts = [f"h{k}.net" for k in range(30)]
+    graph = sorted({(a, b) for a, b in ((rng.choice(hosts), rng.choice(hosts)) for _ in range(90)) if a != b})
+    seeds = [(h, rng.randrange(4), rng.randrange(3)) for h in hosts[:12]]
+    got = {r.host: (r.trust, r.distrust) for r in url_trust.ranks(spark.createDataFrame(seeds, "host string, allowed long, blocked long"), spark.createDataFrame(graph, "a string, b string"), settled=1e-6).collect()}
+    for kind in (0, 1):
+        way = graph if kind == 0 else [(b, a) for a, b in graph]
+        degree, total = Counter(a for a, _ in way), sum(s[1 + kind] for s in seeds)
+        base = {s[0]: 0.15 * s[1 + kind] / total for s in seeds}
+        rank = dict(base)
+        for _ in range(150):
+            new = Counter(base)
+            for a, b in way:
+                new[b] += 0.85 * rank.get(a, 0) / degree[a]
+            rank = new
+        for h in hosts:
+            assert abs(got.get(h, (0, 0))[kind] - rank.get(h, 0)) < 1e-5
