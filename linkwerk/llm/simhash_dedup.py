@@ -5,26 +5,41 @@ within ``RADIUS`` bits agree on at least ``KEEP`` of ``BLOCKS`` blocks of bits,
 so every fingerprint goes to one shard for each choice of blocks (10 shards of
 about 2^25 values); shards that hold one fingerprint are dropped. Each shard's
 fingerprints form a BK-tree: children hang at their integer Hamming distance
-to the parent, and a search follows only edges within the radius. A shard with
-more than ``SHARD`` fingerprints is split, and every part's tree is sent the
-queries of the parts before it, so a task never holds more than one tree of
-bounded size. A tree links a query once to each cluster it touches, never to
-all of its neighbours; the links' connected components are the groups.
+to the parent, and a search follows only edges within the radius. Trees of many
+shards are built and searched together, level by level, in arrays. What a task
+finds is sent as one link per fingerprint to the least of its local group, never
+as all pairs; the links' connected components are the groups.
+
+Shards with more than ``SHARD`` fingerprints are hot. Up to ``HOT`` fingerprints
+in all, their trees are broadcast and every fingerprint searches them where it
+lies. (All trees cannot be: that would take every fingerprint through the
+driver.) Beyond that hot shards are dealt again by a fourth of their other bits
+at a time, of which a pair leaves one fourth alone; after ``LEVELS`` of this 16
+bits are open, so a shard has 65,536 values at most, and one that still exceeds
+``SHARD`` is split into trees of which each is sent the queries of those before.
 
 Exact copies share a fingerprint and are one node however many there are.
 
 ``keep_one`` is the stage for training data: near duplicates are texts whose
-sets of five-word shingles have a Jaccard similarity of 0.8 or more. At that
-similarity fingerprints differ by about 10 bits and blocks of bits no longer
-cut the work, so there a shard is the texts that share one of ``KEYS`` minimum
-shingle hashes (a similar pair shares none with a probability of 0.2 ** KEYS),
-fingerprints are voted over distinct shingles, as the sets are compared, the trees are searched to ``WIDE`` bits (a pair at 0.8 is further apart with
-one of about 0.0002), and every link is verified on the shingle sets.
+sets of five-word shingles have a Jaccard similarity of 0.8 or more. Fingerprints
+there have 128 bits, voted over distinct shingles as the sets are compared, and a
+shard is the texts that share one of ``KEYS`` minimum shingle hashes. First each
+text is compared with its shards' leaders (2 per group at most, mostly), so a
+group of any number of copies of one text links in proportion to its size. Then
+only shards whose members are still in different groups are searched, by
+BK-trees within ``WIDE`` bits, for pairs across groups; hot ones are dealt again
+by a further minimum hash. Every link is verified on the sets of 64-bit shingle
+hashes, which are sent once for each pair. A pair at exactly 0.8 is missed with
+a probability of about 0.2 ** KEYS (no common minimum; 3e-6), in shards that are
+hot 8e-5 (one common minimum), and 3e-6 (further apart than WIDE bits).
 
 Defined results: null or wordless text has fingerprint zero and is linked like
-any other; component_id is the smallest non-null doc_id reachable (null if
-there is none); a repeated row is returned as often as it occurs; an empty
-table gives an empty result; extra columns are ignored.
+any other, and to ``keep_one`` all such texts are one; component_id is the
+smallest non-null doc_id reachable (null if there is none); a repeated row is
+returned as often as it occurs, by ``keep_one`` once; an empty table gives an
+empty result; extra columns are ignored or kept, whatever their names. Ids are
+integers or null. Texts are taken as equal by a 64-bit hash: among n texts
+n^2 / 2^65 are expected to be taken for another (3 among 10^10).
 """
 
 from __future__ import annotations
@@ -35,6 +50,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bytehash as bh
 from . import shared as sh
 from .components import components
 
@@ -44,9 +60,16 @@ BLOCKS = 5
 KEEP = BLOCKS - RADIUS
 #: Fingerprints in one tree, at most about.
 SHARD = 4096
+#: Fingerprints of hot shards that are broadcast, at most.
+HOT = 100_000
+LEVELS = 3
 _CHUNK = 1 << 16
 SIMILAR, WORDS = 0.8, 5
-KEYS, WIDE = 5, 20
+KEYS, WIDE = 8, 44
+#: Rows of a table of nodes up to which it is broadcast (16 bytes each).
+FEW = 500_000
+#: Pairs of one node that go to one task, about.
+SALT = 2000
 _TURNS = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) | 1 for k in range(KEYS)], np.uint64)
 
 
@@ -68,7 +91,9 @@ def majority(hashes) -> int:
     """The bits that are set in over half of all hashes."""
     votes, n = np.zeros(64, np.int64), 0
     for h in hashes:
-        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        for at in range(0, len(h), 255):  # what a byte can count
+            votes += bits[at : at + 255].sum(axis=0, dtype=np.uint8)
         n += len(h)
     return sum(1 << k for k in np.flatnonzero(2 * votes > n).tolist())
 
@@ -91,92 +116,204 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     return own.mapInArrow(_prints, "doc_id long, fp long")
 
 
+def _signed(masks: list[int]) -> list[int]:
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
 def _masks() -> list[int]:
     edges = [64 * k // BLOCKS for k in range(BLOCKS + 1)]
     bits = [((1 << (z - a)) - 1) << a for a, z in zip(edges, edges[1:], strict=False)]
-    whole = [sum(c) for c in combinations(bits, KEEP)]
-    return [m - (1 << 64) if m >> 63 else m for m in whole]
-
-
-class BKTree:
-    def __init__(self):
-        self.root: tuple[int, dict] | None = None
-
-    def near(self, value: int, radius: int) -> list[int]:
-        found, stack = [], [self.root] if self.root else []
-        while stack:
-            own, children = stack.pop()
-            d = (own ^ value).bit_count()
-            if d <= radius:
-                found.append(own)
-            if children:
-                if len(children) > 2 * radius:
-                    stack += [children[k] for k in range(d - radius, d + radius + 1) if k in children]
-                else:
-                    stack += [c for k, c in children.items() if -radius <= k - d <= radius]
-        return found
-
-    def add(self, value: int) -> None:
-        if not self.root:
-            self.root = (value, {})
-            return
-        node = self.root
-        while d := (node[0] ^ value).bit_count():
-            child = node[1].get(d)
-            if child is None:
-                node[1][d] = (value, {})
-                return
-            node = child
-
-
-class _Shard:
-    """A tree and the clusters that its links have formed so far."""
-
-    def __init__(self):
-        self.tree, self.up = BKTree(), {}
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while (y := up.get(x, x)) != x:
-            up[x] = up.get(y, y)
-            x = y
-        return x
-
-    def take(self, value: int, insert: bool):
-        roots = {self.root(x) for x in self.tree.near(value, RADIUS)}
-        if insert:
-            for r in roots:
-                self.up[r] = value
-            self.tree.add(value)
-        return roots - {value}
+    return [sum(c) for c in combinations(bits, KEEP)]
+
+
+def _deeper(mask: int) -> list[int]:
+    """The mask with each of four parts of its other bits; a pair within the radius agrees on one part."""
+    rest = [k for k in range(64) if not mask >> k & 1]
+    parts = RADIUS + 1
+    edges = [len(rest) * k // parts for k in range(parts + 1)]
+    return [mask | sum(1 << k for k in rest[a:z]) for a, z in zip(edges, edges[1:], strict=False)]
+
+
+class Forest:
+    """BK-trees of several shards. values: (n, words of 64 bits), distinct within a shard; shards: from 0, all used."""
+
+    def __init__(self, values: np.ndarray, shards: np.ndarray):
+        self.values = values
+        n = len(values)
+        left, group = np.arange(n), shards.astype(np.int64)
+        parents, distances, children = [], [], []
+        above = None
+        while len(left):
+            _, first, inverse = np.unique(group, return_index=True, return_inverse=True)
+            node = left[first]
+            if above is None:
+                self.roots = node
+            else:
+                parents.append(above[0][first])
+                distances.append(above[1][first])
+                children.append(node)
+            mine = node[inverse]
+            below = mine != left
+            left, mine = left[below], mine[below]
+            d = self._apart(values[left], values[mine])
+            above = (mine, d)
+            group = mine * 1024 + d
+        whole = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
+        parents, distances, children = whole(parents), whole(distances), whole(children)
+        order = np.argsort(parents, kind="stable")
+        self.edges, self.children = distances[order], children[order]
+        self.first = np.searchsorted(parents[order], np.arange(n + 1))
+
+    @staticmethod
+    def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+    def near(self, queries: np.ndarray, shards: np.ndarray, radius: int, at_once: int = 512):
+        """Pairs of arrays (query, value) within the radius; a query searches the tree of its shard."""
+        for at in range(0, len(queries), at_once):
+            q = np.arange(at, min(at + at_once, len(queries)))
+            node = self.roots[shards[q]]
+            while len(q):
+                d = self._apart(queries[q], self.values[node])
+                hit = d <= radius
+                if hit.any():
+                    yield q[hit], node[hit]
+                m = self.first[node + 1] - self.first[node]
+                of = np.repeat(np.arange(len(q)), m)
+                edge = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + self.first[node][of]
+                follow = np.abs(self.edges[edge] - d[of]) <= radius
+                q, node = q[of[follow]], self.children[edge[follow]]
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The connected groups of the links a-b as links of each node to the least of its group."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    low = np.arange(len(nodes))
+    while True:
+        new, least = low.copy(), np.minimum(low[x], low[y])
+        np.minimum.at(new, low[x], least)
+        np.minimum.at(new, low[y], least)
+        new = new[new]
+        if (new == low).all():
+            break
+        low = new
+    other = low != np.arange(len(nodes))
+    return nodes[other], nodes[low[other]]
+
+
+def _runs(batches, keys: list[str]):
+    """Tables of whole runs of rows that agree on ``keys``, from rows sorted by them."""
+    import pyarrow as pa
+
+    held = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        last = [t.column(k)[-1] for k in keys]
+        same = np.ones(t.num_rows, bool)
+        for k, v in zip(keys, last, strict=True):
+            same &= t.column(k).to_numpy() == v.as_py()
+        open_ = int(np.argmax(same))  # the last run may go on
+        if open_ == 0 and held and any(held[-1].column(k)[-1].as_py() != v.as_py() for k, v in zip(keys, last, strict=True)):
+            yield pa.concat_tables(held).combine_chunks()
+            held = []
+        if open_:
+            yield pa.concat_tables([*held, t.slice(0, open_)]).combine_chunks()
+            held = []
+        held.append(t.slice(open_))
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _shards(table, keys: list[str]):
+    """The table without runs of ``keys`` that hold guests alone, each row's run from 0, and whether it is no guest."""
+    new = np.zeros(table.num_rows, bool)
+    for k in keys:
+        v = table.column(k).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    run, own = np.cumsum(new), ~table.column("guest").to_numpy(zero_copy_only=False)
+    held = np.zeros(run[-1] + 1, bool)
+    held[run[own]] = True
+    there = held[run]
+    return table.filter(there), (np.cumsum(held) - 1)[run[there]], own[there]
 
 
 def _links(batches):
-    """Rows sorted by (choice, key, tree, guest): a tree's own fingerprints come before its guests."""
+    """Rows sorted by (choice, key, tree): a tree's own fingerprints and its guests."""
     import pyarrow as pa
 
-    own, shard, mask = None, _Shard(), (1 << 64) - 1
-    for b in batches:
-        a, z = [], []
-        for *at, guest, fp in zip(*(b.column(c).to_pylist() for c in ("choice", "key", "tree", "guest", "fp")), strict=True):
-            if at != own:
-                own, shard = at, _Shard()
-            for r in shard.take(fp & mask, not guest):
-                a.append(fp & mask)
-                z.append(r)
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64), pa.int64()) for x in (a, z)], ["a", "b"])
-
-
-def links(prints: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(a, b): links between distinct fingerprints within the radius, enough to join every group."""
-    keyed = prints.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in _masks()))).alias("choice", "key"))
-    full = keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
-    trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
-    rows = keyed.join(full, ["choice", "key"]).withColumn("tree", F.pmod(F.xxhash64("fp"), trees).cast("int"))
-    # a fingerprint is a guest of the trees after its own
-    rows = rows.select("choice", "key", "fp", F.col("tree").alias("home"), F.explode(F.sequence("tree", trees - 1)).alias("tree"))
-    rows = rows.withColumn("guest", F.col("tree") > F.col("home"))
-    return rows.repartition("choice", "key", "tree").sortWithinPartitions("choice", "key", "tree", "guest").mapInArrow(_links, "a long, b long")
+    keys = ["choice", "key", "tree"]
+    for t in _runs(batches, keys):
+        t, shard, own = _shards(t, keys)
+        fp = t.column("fp").to_numpy().view(np.uint64).reshape(-1, 1)
+        forest = Forest(fp[own], shard[own])
+        value = fp[own][:, 0]
+        for q, v in forest.near(fp, shard, RADIUS):
+            a, z = stars(fp[q, 0], value[v])
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, z)], ["a", "b"])
+
+
+def _hot_links(handle, masks: list[int]):
+    def run(batches):
+        import pyarrow as pa
+
+        choice, key, fp = handle.value  # sorted by choice and key
+        new = np.r_[True, (choice[1:] != choice[:-1]) | (key[1:] != key[:-1])]
+        forest = Forest(fp.reshape(-1, 1), np.cumsum(new) - 1)
+        for b in batches:
+            own, a, z = b.column("fp").to_numpy().view(np.uint64), [], []
+            for c in np.unique(choice).tolist():
+                here = np.flatnonzero(new & (choice == c))
+                at = np.searchsorted(key[here], own & np.uint64(masks[c]))
+                hit = np.flatnonzero(key[here][np.minimum(at, len(here) - 1)] == own & np.uint64(masks[c]))
+                shard = (np.cumsum(new) - 1)[here[at[hit]]]
+                for q, v in forest.near(own[hit].reshape(-1, 1), shard, RADIUS):
+                    x, y = stars(own[hit][q], fp[v])
+                    a.append(x)
+                    z.append(y)
+            if a:
+                x, y = stars(np.concatenate(a), np.concatenate(z))
+                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)) for k in (x, y)], ["a", "b"])
+
+    return run
+
+
+def links(prints: DataFrame, shard: int = SHARD, hot: int = HOT, levels: int = LEVELS) -> DataFrame:
+    """(a, b): links that join every group of the distinct fingerprints of (fp)."""
+    spark, masks, out = prints.sparkSession, _masks(), []
+    keyed = prints.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in _signed(masks)))).alias("choice", "key"))
+    for level in range(levels + 1):
+        full = sh.cut(keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1"))
+        over = full.where(F.col("n") > shard)
+        n_hot = over.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        last = n_hot == 0 or level == levels
+        whole = keyed.join(full if last and n_hot else full.where(F.col("n") <= shard), ["choice", "key"])
+        trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
+        rows = whole.withColumn("home", F.pmod(F.xxhash64("fp"), trees).cast("int"))
+        # a fingerprint is a guest of the trees after its own
+        rows = rows.select("choice", "key", "fp", "home", F.explode(F.sequence("home", trees - 1)).alias("tree")).withColumn("guest", F.col("tree") > F.col("home"))
+        out.append(rows.repartition("choice", "key", "tree").sortWithinPartitions("choice", "key", "tree", "guest").mapInArrow(_links, "a long, b long"))
+        if last:
+            break
+        members = keyed.join(over.select("choice", "key"), ["choice", "key"], "left_semi")
+        if n_hot <= hot:
+            at = members.orderBy("choice", "key", "fp").toPandas()  # at most ``hot`` rows
+            key, fp = (at[c].to_numpy(np.int64).view(np.uint64) for c in ("key", "fp"))
+            by = np.lexsort((fp, key, at["choice"].to_numpy()))
+            handle = spark.sparkContext.broadcast((at["choice"].to_numpy()[by], key[by], fp[by]))
+            out.append(members.select("fp").distinct().mapInArrow(_hot_links(handle, masks), "a long, b long"))
+            break
+        deeper = [m for mask in masks for m in _deeper(mask)]
+        step = RADIUS + 1
+        keyed = members.select("fp", F.explode(F.sequence(F.col("choice") * step, F.col("choice") * step + step - 1)).alias("choice"))
+        keyed = keyed.withColumn("key", F.col("fp").bitwiseAND(F.element_at(F.array(*map(F.lit, _signed(deeper))), F.col("choice") + 1)))
+        masks = deeper
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    return found
 
 
 def groups(prints: DataFrame) -> DataFrame:
@@ -195,95 +332,165 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     return named.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _sketches(with_sets: bool):
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            keys, prints, sets = [], [], []
-            for x in b.column("body"):
-                hashes = list(shingle_hashes(x.as_py() or b"", WORDS))
-                every = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
-                keys.append([int((every * t).min().view(np.int64)) for t in _TURNS] if len(every) else [])
-                prints.append(majority([every]))  # of the set, as pairs are verified on sets
-                if with_sets:
-                    sets.append(np.unique(every.astype(np.uint32)).tobytes())
-            fp = pa.array(np.array(prints, np.uint64).view(np.int64), pa.int64())
-            rest, names = ([pa.array(sets, pa.binary())], ["shingles"]) if with_sets else ([], [])
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(keys, pa.list_(pa.int64())), fp, *rest], ["node", "keys", "fp", *names])
+def shingle_set(text: bytes) -> np.ndarray:
+    """Sorted distinct hashes of the five-word shingles."""
+    hashes = list(shingle_hashes(text, WORDS))
+    return np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
 
-    return run
 
+def _sketches(batches):
+    import pyarrow as pa
 
-def _shared(few: np.ndarray, many: np.ndarray) -> int:
-    """How many of the sorted distinct ``few`` are in the sorted distinct ``many``, which are as many at least."""
-    return int(np.count_nonzero(many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few))
+    for b in batches:
+        keys, prints, sizes = [], [], []
+        for x in b.column("body"):
+            own = shingle_set(x.as_py() or b"")
+            keys.append([int((own * t).min().view(np.int64)) for t in _TURNS] if len(own) else [])
+            prints.append([majority([own]), majority([bh.mix(own)])])
+            sizes.append(len(own))
+        fp = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(keys, pa.list_(pa.int64())), pa.array(fp[:, 0]), pa.array(fp[:, 1]), pa.array(sizes, pa.int64())], ["node", "keys", "fp", "fp2", "size"])
 
 
-def _verified(batches):
-    """As _links, with a set of shingles for each fingerprint; a link needs ``SIMILAR`` of the sets."""
+def _sets(batches):
     import pyarrow as pa
 
-    own, tree, held, up, mask = None, BKTree(), {}, {}, (1 << 64) - 1
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([shingle_set(x.as_py() or b"").tobytes() for x in b.column("body")], pa.binary())], ["node", "shingles"])
+
 
-    def root(x):
-        while (y := up.get(x, x)) != x:
-            up[x] = up.get(y, y)
-            x = y
-        return x
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Jaccard similarity of sorted distinct values is ``SIMILAR`` or more."""
+    few, many = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(few):
+        return not len(many)
+    both = int(np.count_nonzero(many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few))
+    return both >= SIMILAR * (len(few) + len(many) - both)
+
+
+def _verify(batches):
+    import pyarrow as pa
 
     for b in batches:
-        a, z = [], []
-        for *at, guest, node, fp, packed in zip(*(b.column(c).to_pylist() for c in ("choice", "key", "tree", "guest", "node", "fp", "shingles")), strict=True):
-            if at != own:
-                own, tree, held, up = at, BKTree(), {}, {}
-            fp, mine, done = fp & mask, np.frombuffer(packed, np.uint32), set()
-            for print_ in tree.near(fp, WIDE):
-                for other, theirs in held[print_]:
-                    r = root(other)
-                    few, many = (mine, theirs) if len(mine) <= len(theirs) else (theirs, mine)
-                    if r in done or len(few) < SIMILAR * len(many):
-                        continue
-                    if (both := _shared(few, many)) >= SIMILAR * (len(few) + len(many) - both):
-                        done.add(r)
-                        a.append(node)
-                        z.append(r)
-            if not guest:
-                for r in done:
-                    up[r] = node
-                if fp not in held:
-                    tree.add(fp)
-                held.setdefault(fp, []).append((node, mine))
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["a", "b"])
-
-
-def similar_links(texts: DataFrame, shard: int = SHARD // 4) -> DataFrame:
-    """(a, b): links between the nodes of (node, body) that are similar, enough to join every group."""
-    small = texts.mapInArrow(_sketches(False), "node long, keys array<long>, fp long").dropDuplicates(["node"])
-    keyed = sh.cut(small.select("node", F.posexplode("keys").alias("choice", "key")))
-    full = keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
-    mates = keyed.join(full, ["choice", "key"])
-    wanted = mates.select("node").distinct()
-    sets = texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]).mapInArrow(_sketches(True), "node long, keys array<long>, fp long, shingles binary").drop("keys")
-    trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
-    homes = mates.withColumn("home", F.pmod(F.xxhash64("node", "choice"), trees).cast("int")).select("choice", "key", "node", "home", F.explode(F.sequence("home", trees - 1)).alias("tree"))
-    rows = homes.join(sets, "node").withColumn("guest", F.col("tree") > F.col("home"))
-    return rows.repartition("choice", "key", "tree").sortWithinPartitions("choice", "key", "tree", "guest", "node").mapInArrow(_verified, "a long, b long")
-
-
-def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+        read = lambda c: [np.frombuffer(x.as_py(), np.uint64) for x in b.column(c)]  # noqa: B023, E731
+        good = pa.array([similar(x, y) for x, y in zip(read("a_set"), read("b_set"), strict=True)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(good), b.column("b").filter(good)], ["a", "b"])
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """``df``, cut, to be broadcast if it has at most ``FEW`` rows."""
+    df = sh.cut(df)
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
+def verified(texts: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those pairs (a, b) of nodes that are similar. texts: (node, id, body); rows: the (node, id) that stands for each node."""
+    pairs = sh.cut(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    own = _few(rows.join(wanted, "node", "left_semi"))
+    # by id too, so that the copies of one text are not dealt to one task
+    bodies = texts.join(own.withColumnRenamed("node", "own").withColumnRenamed("id", "own_id"), (F.col("node") == F.col("own")) & F.col("id").eqNullSafe(F.col("own_id")), "left_semi")
+    sets = sh.cut(bodies.mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"]))
+    # the sets of nodes with very many pairs go to several tasks
+    salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(SALT)).cast("int").alias("salts"))
+    left = pairs.join(salts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
+    left = left.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a")
+    right = sets.join(salts, sets.node == salts.b).select("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("shingles").alias("b_set"))
+    return left.join(right, ["b", "salt"]).select("a", "b", "a_set", "b_set").mapInArrow(_verify, "a long, b long")
+
+
+def _alike(a: str, b: str):
+    """Columns of two sketches may belong to similar texts, by sizes and fingerprints."""
+    x, y = (lambda c: F.col(f"{a}{c}")), (lambda c: F.col(f"{b}{c}"))
+    apart = F.bit_count(x("fp").bitwiseXOR(y("fp"))) + F.bit_count(x("fp2").bitwiseXOR(y("fp2")))
+    return (F.least(x("size"), y("size")) >= SIMILAR * F.greatest(x("size"), y("size"))) & (apart <= WIDE)
+
+
+def _across(batches):
+    """Pairs across groups within ``WIDE`` bits, from rows sorted by (shard, tree, guest)."""
+    import pyarrow as pa
+
+    keys = ["shard", "tree"]
+    for t in _runs(batches, keys):
+        t, shard, own = _shards(t, keys)
+        own = np.flatnonzero(own)
+        get = lambda c: t.column(c).to_numpy()  # noqa: B023, E731
+        values = np.stack([get("fp").view(np.uint64), get("fp2").view(np.uint64)], axis=1)
+        # texts of one fingerprint are one place in the tree
+        places, at = np.unique(np.column_stack([shard[own].astype(np.uint64), values[own]]), axis=0, return_inverse=True)
+        order, at = np.argsort(at, kind="stable"), np.sort(at)
+        held = np.searchsorted(at, np.arange(len(places) + 1))
+        forest = Forest(places[:, 1:], places[:, 0].astype(np.int64))
+        node, root, size = get("node"), get("root"), get("size")
+        for q, v in forest.near(values, shard, WIDE):
+            m = held[v + 1] - held[v]
+            q = np.repeat(q, m)
+            v = own[order[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(held[v], m)]]
+            good = (root[q] != root[v]) & (node[q] != node[v]) & (np.minimum(size[q], size[v]) >= SIMILAR * np.maximum(size[q], size[v]))
+            low, high = np.minimum(node[q], node[v])[good], np.maximum(node[q], node[v])[good]
+            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+
+
+def pairs_across(small: DataFrame, roots: DataFrame, shard: int = SHARD, levels: int = LEVELS) -> DataFrame:
+    """(a, b): nodes that share a minimum hash, may be similar and are not in one group yet."""
+    base = small.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "fp", "fp2", "size", "keys")
+    rows = base.select("*", F.posexplode("keys").alias("choice", "key")).withColumn("shard", F.xxhash64("choice", "key"))
+    out = []
+    for level in range(levels):
+        full = sh.cut(rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard", "n"))
+        over = full.where(F.col("n") > shard)
+        last = level == levels - 1 or over.isEmpty()
+        trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
+        here = rows.drop("keys").join(full if last else full.where(F.col("n") <= shard), "shard").withColumn("home", F.pmod(F.xxhash64("node"), trees).cast("int"))
+        here = here.select("shard", "node", "root", "fp", "fp2", "size", "home", F.explode(F.sequence("home", trees - 1)).alias("tree")).withColumn("guest", F.col("tree") > F.col("home"))
+        out.append(here.repartition("shard", "tree").sortWithinPartitions("shard", "tree", "guest").mapInArrow(_across, "a long, b long"))
+        if last:
+            break
+        # pairs that share more minima meet in the shard of the first two, if that of the first is hot
+        more = rows.join(over.select("shard"), "shard", "left_semi").select("node", "root", "fp", "fp2", "size", "keys", F.col("choice").alias("was"), F.col("shard").alias("old"), F.posexplode("keys").alias("choice", "key"))
+        rows = more.where("choice > was").withColumn("shard", F.xxhash64("old", "choice", "key")).drop("was", "old")
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionByName(more)
+    return found.distinct()
+
+
+def similar_links(texts: DataFrame, shard: int = SHARD) -> DataFrame:
+    """(a, b): links between the nodes of (node, id, body), enough to join every group of similar texts."""
+    small = sh.cut(texts.mapInArrow(_sketches, "node long, keys array<long>, fp long, fp2 long, size long").dropDuplicates(["node"]))
+    rows = sh.cut(texts.select("node", "id").groupBy("node").agg(F.min("id").alias("id")))
+    keyed = small.select(F.posexplode("keys").alias("choice", "key"), *(F.col(c).alias(f"a_{c}") for c in ("node", "fp", "fp2", "size")))
+    leader = F.min(F.struct(F.xxhash64("a_node", F.col("choice") % 2), *(F.col(f"a_{c}").alias(c) for c in ("node", "fp", "fp2", "size"))))
+    led = keyed.groupBy("choice", "key").agg(F.count("*").alias("n"), leader.alias("b")).where("n > 1")
+    led = led.select("choice", "key", *(F.col(f"b.{c}").alias(f"b_{c}") for c in ("node", "fp", "fp2", "size")))
+    first = keyed.join(led, ["choice", "key"]).where((F.col("a_node") != F.col("b_node")) & _alike("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    found = sh.cut(verified(texts, rows, first))
+    more = verified(texts, rows, pairs_across(small, components(found), shard))
+    return found.unionByName(more)
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int = SHARD) -> DataFrame:
     """``df`` with one row of each group of near duplicates: that of the smallest id (nulls last).
 
     Rows equal in id and text are one document, of which any row stays.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    node = F.xxhash64(body)
-    roots = components(similar_links(df.select(node.alias("node"), body.cast("binary").alias("body"))))
-    own = df.select(node.alias("node"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"), node.alias("node")).alias("who"))
-    best = own.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("who").alias("who")).select(F.col("who.id").alias("__id"), F.col("who.node").alias("__own"))
-    named = df.withColumn("__node", node)
-    kept = named.join(best, (named["__node"] == best["__own"]) & named[id_col].eqNullSafe(best["__id"]), "left_semi")
-    return kept.dropDuplicates(["__node", id_col]).drop("__node")
+    name = sh.fresh("node", df.columns)
+    node = F.xxhash64(F.when(body.rlike(r"[^\x20\x09-\x0D]"), body).otherwise(""))
+    texts = df.select(node.alias("node"), F.col(id_col).cast("long").alias("id"), body.cast("binary").alias("body"))
+    roots = components(similar_links(texts, shard))
+    own = texts.groupBy("node", "id").agg(F.count("*").alias("n"))
+    own = sh.cut(own.join(roots, "node", "left").select("node", "id", "n", F.coalesce("root", "node").alias("root")))
+    best = own.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("best"))
+    out = own.join(best, "root").where(~(F.col("best.node").eqNullSafe(F.col("node")) & F.col("best.id").eqNullSafe(F.col("id"))))
+    gone = _few(out.select(F.col("node").alias("__own"), F.col("id").alias("__id")))
+    same = lambda d: (d[name] == F.col("__own")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    named = df.withColumn(name, node)
+    kept = named.join(gone, same(named), "left_anti")
+    twice = sh.cut(own.where("n > 1").select(F.col("node").alias("__own"), F.col("id").alias("__id")))
+    if not twice.isEmpty():
+        kept = kept.join(twice, same(kept), "left_anti").unionByName(kept.join(twice, same(kept), "left_semi").dropDuplicates([name, id_col]))
+    return kept.select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -85,14 +85,26 @@ def test_fingerprints():
         assert simhash_dedup.fingerprint((t or "").encode()) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def test_bk_tree():
-    rng = random.Random(4)
-    tree, values = simhash_dedup.BKTree(), [rng.getrandbits(16) for _ in range(400)]
-    for v in values:
-        tree.add(v)
-    for q in values[:50]:
+def test_bk_trees():
+    rng = np.random.default_rng(4)
+    for words in (1, 2):
+        values = np.unique(rng.integers(0, 1 << 16, (400, words)).astype(np.uint64), axis=0)
+        shard = np.sort(rng.integers(0, 5, len(values)))
+        forest = simhash_dedup.Forest(values, shard)
         for r in (0, 2, 5):
-            assert sorted(tree.near(q, r)) == sorted({v for v in values if (v ^ q).bit_count() <= r})
+            got = {(int(q), int(v)) for x, y in forest.near(values[::3], shard[::3], r, 7) for q, v in zip(x, y, strict=True)}
+            want = {(q, v) for q in range(len(values[::3])) for v in range(len(values)) if shard[3 * q] == shard[v] and int(np.bitwise_count(values[3 * q] ^ values[v]).sum()) <= r}
+            assert got == want
+
+
+def test_stars():
+    rng = random.Random(3)
+    a, b = (np.array([rng.randrange(300) for _ in range(200)], np.uint64) for _ in range(2))
+    nodes = sorted({*a.tolist(), *b.tolist()})
+    pairs = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    want = _roots(nodes, lambda x, y: frozenset((x, y)) in pairs)
+    got = dict(zip(*(x.tolist() for x in simhash_dedup.stars(a, b)), strict=True))
+    assert got == {k: v for k, v in want.items() if k != v}
 
 
 def _roots(nodes, linked):
@@ -111,8 +123,8 @@ def _roots(nodes, linked):
     return {n: find(n) for n in nodes}
 
 
-@pytest.mark.parametrize("shard", [4096, 3])
-def test_links_join_every_group(spark, shard):
+@pytest.mark.parametrize(("shard", "hot"), [(4096, 0), (3, 0), (3, 10**6)])
+def test_links_join_every_group(spark, shard, hot):
     rng, values = random.Random(5), []
     for _ in range(25):
         v = rng.getrandbits(64)
@@ -123,7 +135,7 @@ def test_links_join_every_group(spark, shard):
     values = sorted(set(values))
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     df = spark.createDataFrame([(signed(v),) for v in values], "fp long")
-    links = simhash_dedup.links(df, shard)
+    links = simhash_dedup.links(df, shard, hot)
     rows = [(r.a % (1 << 64), r.b % (1 << 64)) for r in links.collect()]
     want = _roots(values, lambda a, b: (a ^ b).bit_count() <= 3)
     pairs = {frozenset(p) for p in rows}
@@ -151,11 +163,47 @@ def test_near_duplicates(spark):
     assert simhash_dedup.near_duplicates(frame(spark, []).limit(0)).count() == 0
 
 
-def test_shared_shingles():
+def test_similar():
     rng = random.Random(15)
-    for _ in range(200):
-        few, many = sorted(({rng.randrange(40) for _ in range(rng.randrange(1, 30))} for _ in range(2)), key=len)
-        assert simhash_dedup._shared(*(np.array(sorted(x), np.uint32) for x in (few, many))) == len(few & many)
+    for _ in range(300):
+        a, b = ({rng.randrange(12) for _ in range(rng.randrange(0, 14))} for _ in range(2))
+        want = len(a & b) >= 0.8 * len(a | b)
+        assert simhash_dedup.similar(*(np.array(sorted(x), np.uint64) for x in (a, b))) == want
+
+
+@pytest.mark.parametrize("shard", [4096, 4])
+def test_keep_one_against_all_pairs(spark, shard):
+    rng, rows = random.Random(31), []
+    for _ in range(12):  # groups around one text, chains of small changes, unrelated texts that share a passage
+        base = prose(rng, rng.choice([6, 9, 40, 120]), 9000).split()
+        for _ in range(rng.randrange(1, 8)):
+            w = list(base)
+            for _ in range(rng.randrange(0, 1 + len(w) // 30)):
+                w[rng.randrange(len(w))] = "changed"
+            rows.append(" ".join(w))
+            base = w if rng.random() < 0.3 else base
+    passage = prose(rng, 30, 9000)
+    rows += [prose(rng, rng.randrange(5, 60), 9000) + " " + passage for _ in range(15)]
+    rng.shuffle(rows)
+    sets = [simhash_dedup.shingle_set(t.encode()) for t in rows]
+    want = _roots(list(range(len(rows))), lambda a, b: simhash_dedup.similar(sets[a], sets[b]))
+    kept = simhash_dedup.keep_one(frame(spark, rows), shard=shard)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_component_ids_against_all_pairs(spark):
+    rng, rows = random.Random(32), []
+    for _ in range(25):
+        base = prose(rng, rng.choice([3, 30, 200]), 9000).split()
+        for _ in range(rng.randrange(1, 4)):
+            w = list(base)
+            if rng.random() < 0.6:
+                w[rng.randrange(len(w))] = "changed"
+            rows.append(" ".join(w))
+    prints = [simhash_dedup.fingerprint(t.encode()) for t in rows]
+    want = _roots(list(range(len(rows))), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {k: (f"{prints[k]:016x}", want[k]) for k in want} and len(set(want.values())) < len(rows)
 
 
 def test_keep_one(spark):
@@ -163,8 +211,8 @@ def test_keep_one(spark):
     base = prose(rng, 200, 9000).split()
     near = [*base[:100], "changed", *base[101:]]
     far = [w if k % 6 else "other" for k, w in enumerate(base)]
-    rows = [" ".join(near), " ".join(base), " ".join(far), prose(rng, 100, 9000), "", "", None]
-    df = frame(spark, rows, ids=[5, 2, 3, 4, 6, 7, 8])
+    rows = [" ".join(near), " ".join(base), " ".join(far), prose(rng, 100, 9000), "", "", None, " \t"]
+    df = frame(spark, rows, ids=[5, 2, 3, 4, 6, 7, 8, 9])
     kept = simhash_dedup.keep_one(df.union(df.limit(1)))
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6] and kept.columns == df.columns
     assert simhash_dedup.keep_one(df.limit(0)).count() == 0
