@@ -24,11 +24,12 @@ Exact copies share a fingerprint and are one node however many there are.
 sets of five-word shingles have a Jaccard similarity of 0.8 or more. Fingerprints
 there have 128 bits, voted over distinct shingles as the sets are compared, and a
 shard is the texts that share one of ``KEYS`` minimum shingle hashes. First each
-text is compared with its shards' leaders (2 per group at most, mostly), so a
-group of any number of copies of one text links in proportion to its size. Then
-only shards whose members are still in different groups are searched, by
-BK-trees within ``WIDE`` bits, for pairs across groups; hot ones are dealt again
-by a further minimum hash. Every link is verified on the sets of 64-bit shingle
+text is compared with its shards' leaders (2 per group at most, mostly), then with
+``BLOCK`` others of a shard that are still in another group, so a group of any
+number of copies of one text links in proportion to its size. Then only shards
+whose members are still in different groups are searched, by BK-trees within
+``WIDE`` bits, for pairs across groups; hot ones are dealt again by a further
+minimum hash. Every link is verified on the sets of 64-bit shingle
 hashes, which are sent once for each pair. A pair at exactly 0.8 is missed with
 a probability of about 0.2 ** KEYS (no common minimum; 3e-6), in shards that are
 hot 8e-5 (one common minimum), and 3e-6 (further apart than WIDE bits).
@@ -66,6 +67,8 @@ LEVELS = 3
 _CHUNK = 1 << 16
 SIMILAR, WORDS = 0.8, 5
 KEYS, WIDE = 8, 44
+#: Members of a shard that are compared with each other before all are, and the minimum hashes that deal them.
+BLOCK, BLOCK_KEYS = 32, 4
 #: Rows of a table of nodes up to which it is broadcast (16 bytes each).
 FEW = 500_000
 #: Pairs of one node that go to one task, about.
@@ -431,19 +434,40 @@ def _across(batches):
             yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(shard, n): shards with members of different groups."""
+    return sh.cut(rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard", "n"))
+
+
+def _by_group(small: DataFrame, roots: DataFrame) -> DataFrame:
+    """A row for each node and minimum hash, with the node's group."""
+    base = small.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "fp", "fp2", "size", "keys")
+    return base.select("*", F.posexplode("keys").alias("choice", "key")).withColumn("shard", F.xxhash64("choice", "key"))
+
+
+def _searched(rows: DataFrame) -> DataFrame:
+    """rows: shard, tree, guest and what a tree needs."""
+    own = rows.select("shard", "tree", "guest", "node", "root", "fp", "fp2", "size")
+    return own.repartition("shard", "tree").sortWithinPartitions("shard", "tree", "guest").mapInArrow(_across, "a long, b long")
+
+
+def pairs_in_blocks(small: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): as pairs_across, among the members of a shard that fall in one of its blocks of about ``block``."""
+    rows = _by_group(small, roots).where(F.col("choice") < BLOCK_KEYS).drop("keys")
+    rows = rows.join(_mixed(rows), "shard").withColumn("tree", F.pmod(F.xxhash64("node", "choice"), F.ceil(F.col("n") / F.lit(block))).cast("int"))
+    return _searched(rows.withColumn("guest", F.lit(False))).distinct()
+
+
 def pairs_across(small: DataFrame, roots: DataFrame, shard: int = SHARD, levels: int = LEVELS) -> DataFrame:
     """(a, b): nodes that share a minimum hash, may be similar and are not in one group yet."""
-    base = small.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "fp", "fp2", "size", "keys")
-    rows = base.select("*", F.posexplode("keys").alias("choice", "key")).withColumn("shard", F.xxhash64("choice", "key"))
-    out = []
+    rows, out = _by_group(small, roots), []
     for level in range(levels):
-        full = sh.cut(rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard", "n"))
+        full = _mixed(rows)
         over = full.where(F.col("n") > shard)
         last = level == levels - 1 or over.isEmpty()
         trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
         here = rows.drop("keys").join(full if last else full.where(F.col("n") <= shard), "shard").withColumn("home", F.pmod(F.xxhash64("node"), trees).cast("int"))
-        here = here.select("shard", "node", "root", "fp", "fp2", "size", "home", F.explode(F.sequence("home", trees - 1)).alias("tree")).withColumn("guest", F.col("tree") > F.col("home"))
-        out.append(here.repartition("shard", "tree").sortWithinPartitions("shard", "tree", "guest").mapInArrow(_across, "a long, b long"))
+        out.append(_searched(here.select("*", F.explode(F.sequence("home", trees - 1)).alias("tree")).withColumn("guest", F.col("tree") > F.col("home"))))
         if last:
             break
         # pairs that share more minima meet in the shard of the first two, if that of the first is hot
@@ -455,21 +479,27 @@ def pairs_across(small: DataFrame, roots: DataFrame, shard: int = SHARD, levels:
     return found.distinct()
 
 
-def similar_links(texts: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(a, b): links between the nodes of (node, id, body), enough to join every group of similar texts."""
-    small = sh.cut(texts.mapInArrow(_sketches, "node long, keys array<long>, fp long, fp2 long, size long").dropDuplicates(["node"]))
-    rows = sh.cut(texts.select("node", "id").groupBy("node").agg(F.min("id").alias("id")))
+def pairs_with_leaders(small: DataFrame) -> DataFrame:
+    """(a, b): each node with the leader of each of its shards."""
     keyed = small.select(F.posexplode("keys").alias("choice", "key"), *(F.col(c).alias(f"a_{c}") for c in ("node", "fp", "fp2", "size")))
     leader = F.min(F.struct(F.xxhash64("a_node", F.col("choice") % 2), *(F.col(f"a_{c}").alias(c) for c in ("node", "fp", "fp2", "size"))))
     led = keyed.groupBy("choice", "key").agg(F.count("*").alias("n"), leader.alias("b")).where("n > 1")
     led = led.select("choice", "key", *(F.col(f"b.{c}").alias(f"b_{c}") for c in ("node", "fp", "fp2", "size")))
-    first = keyed.join(led, ["choice", "key"]).where((F.col("a_node") != F.col("b_node")) & _alike("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-    found = sh.cut(verified(texts, rows, first))
-    more = verified(texts, rows, pairs_across(small, components(found), shard))
-    return found.unionByName(more)
+    return keyed.join(led, ["choice", "key"]).where((F.col("a_node") != F.col("b_node")) & _alike("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
+def similar_groups(texts: DataFrame, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+    """(node, root) of the nodes of (node, id, body) that have a similar one; root is the least of the group."""
+    small = sh.cut(texts.mapInArrow(_sketches, "node long, keys array<long>, fp long, fp2 long, size long").dropDuplicates(["node"]))
+    rows = sh.cut(texts.select("node", "id").groupBy("node").agg(F.min("id").alias("id")))
+    found = sh.cut(verified(texts, rows, pairs_with_leaders(small)))
+    for pairs in (lambda r: pairs_in_blocks(small, r, block), lambda r: pairs_across(small, r, shard)):
+        roots = components(found)
+        found = sh.cut(found.unionByName(verified(texts, rows, pairs(roots))))
+    return components(found)
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int = SHARD) -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """``df`` with one row of each group of near duplicates: that of the smallest id (nulls last).
 
     Rows equal in id and text are one document, of which any row stays.
@@ -478,7 +508,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: i
     name = sh.fresh("node", df.columns)
     node = F.xxhash64(F.when(body.rlike(r"[^\x20\x09-\x0D]"), body).otherwise(""))
     texts = df.select(node.alias("node"), F.col(id_col).cast("long").alias("id"), body.cast("binary").alias("body"))
-    roots = components(similar_links(texts, shard))
+    roots = similar_groups(texts, shard, block)
     own = texts.groupBy("node", "id").agg(F.count("*").alias("n"))
     own = sh.cut(own.join(roots, "node", "left").select("node", "id", "n", F.coalesce("root", "node").alias("root")))
     best = own.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("best"))
