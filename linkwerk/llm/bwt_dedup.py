@@ -14,22 +14,34 @@ hash in each window of the minimum length anchors it; equal windows have equal
 anchors. Windows whose anchor occurs once are dropped by a hash exchange, and
 again with longer grams, so that common strings much shorter than the minimum
 drop out; stretches of windows with the same (short) anchor go, with the bytes they cover, to the bucket of
-that anchor. Equal stretches are merged with a count of one or many before
-they are sent and again where they meet, so an anchor's copies reach a bucket
-once per part at most. Where all kinds of an anchor's stretches came more than
-once the counts tell; all others go through the transform, in blocks.
+that anchor. Equal stretches, by a digest of 128 bits, are merged with a count
+of one or many before they are sent and again where they meet, so an anchor's
+copies reach a bucket once per part at most. Where all kinds of an anchor's
+stretches came more than once the counts tell; all others go through the
+transform, in blocks.
+
+A long passage inside very many different documents makes many different
+stretches around one anchor. Buckets that hold more than ``PILE`` bytes are
+therefore not transformed: their windows are asked about one by one, by a keyed
+digest of 128 bits in two halves of which each must occur again, which deals
+them evenly whatever their anchor. So no task holds more than a part, or a
+bucket of ``PILE``.
 
 Defined results: null text counts as empty; a repeated row counts as another
 document; documents shorter than the minimum keep all; an empty table gives an
-empty result; extra columns are ignored. Cuts may fall inside a code point.
+empty result; extra columns are ignored. Ids are integers or null. Rows equal in
+id and text are counted before they are dealt if there are very many. Cuts may
+fall inside a code point.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import bytehash as bh
 from . import shared as sh
@@ -38,9 +50,11 @@ LENGTH = 400
 GRAMS = (64, 320)
 #: Bytes that go through one transform, about; one anchor's stretches stay together.
 BLOCK = 1 << 20
+#: Bytes of a bucket that go through transforms, at most.
+PILE = 16_000_000
 PIECES = "bucket int, part int, keys binary, sums binary, sizes binary, places binary, often binary, body binary"
-RUNS = "part int, level int, bucket int, bits binary, place binary, start binary, stop binary"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RUNS = "part int, place binary, start binary, stop binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, copies long"
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -161,7 +175,7 @@ class _Part:
 
     def stretches(self) -> dict[str, np.ndarray]:
         """Runs of wanted windows with the same first anchor: keys, starts, stops (ends of their bytes), sums; sorted, equal ones together."""
-        none = {k: np.zeros(0, t) for k, t in (("keys", np.uint64), ("starts", np.int64), ("stops", np.int64), ("sums", np.uint64))}
+        none = {k: np.zeros(0, t) for k, t in (("keys", np.uint64), ("starts", np.int64), ("stops", np.int64))} | {"sums": np.zeros((0, 2), np.uint64)}
         on = self.wanted
         if not on.any():
             return none
@@ -171,8 +185,9 @@ class _Part:
         close = on.copy()
         close[:-1] &= ~on[1:] | fresh[1:]
         starts, stops = np.flatnonzero(fresh), np.flatnonzero(close) + self.length
-        keys, sums = self.least[starts], bh.spans(self.data, starts, stops)
-        by = np.lexsort((starts, stops - starts, sums, keys))
+        keys, text = self.least[starts], self.data.tobytes()
+        sums = np.frombuffer(b"".join(hashlib.blake2b(text[a:z], digest_size=16).digest() for a, z in zip(starts.tolist(), stops.tolist(), strict=True)), np.uint64).reshape(-1, 2)
+        by = np.lexsort((starts, stops - starts, sums[:, 1], sums[:, 0], keys))
         return {"keys": keys[by], "starts": starts[by], "stops": stops[by], "sums": sums[by]}
 
 
@@ -180,16 +195,18 @@ def _kinds(s: dict[str, np.ndarray]) -> np.ndarray:
     """Where a new kind of stretch begins in the sorted stretches."""
     if not len(s["keys"]):
         return np.zeros(0, np.int64)
-    size = s["stops"] - s["starts"]
-    new = (np.diff(s["keys"]) != 0) | (np.diff(s["sums"]) != 0) | (np.diff(size) != 0)
-    return np.flatnonzero(np.r_[True, new])
+    return np.flatnonzero(_new_kind(s["keys"], s["sums"], s["stops"] - s["starts"]))
+
+
+def _new_kind(keys: np.ndarray, sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.r_[True, (np.diff(keys) != 0) | (np.diff(sums, axis=0) != 0).any(axis=1) | (np.diff(sizes) != 0)]
 
 
 def _asker(level: int, length: int, grams: tuple[int, ...], n_buckets: int):
     def ask(docs, replies=None):
         if not docs.num_rows:
             return sh.requests(0, level, np.zeros(0, np.uint64), np.zeros(0, bool), n_buckets)
-        part = _Part(sh.ordered(docs, "id", "body"), length, grams, n_buckets).narrow(level, replies)
+        part = _Part(sh.documents(docs)[0], length, grams, n_buckets).narrow(level, replies)
         sent, often, _ = part.ask(level)
         return sh.requests(docs.column("part")[0].as_py(), level, sent, often, n_buckets)
 
@@ -204,12 +221,13 @@ def _sender(length: int, grams: tuple[int, ...], n_buckets: int, n_piles: int):
         kinds_ = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
         if not docs.num_rows:
             return pa.table({n: pa.array([], t) for n, t in zip(names, kinds_, strict=True)})
-        part = _Part(sh.ordered(docs, "id", "body"), length, grams, n_buckets).narrow(len(grams), replies)
+        part = _Part(sh.documents(docs)[0], length, grams, n_buckets).narrow(len(grams), replies)
         s = part.stretches()
         first = _kinds(s)
         many = np.diff(np.r_[first, len(s["keys"])]) > 1
         keys, starts, stops, sums = (s[k][first] for k in ("keys", "starts", "stops", "sums"))
-        edges, rows = sh.buckets_of(keys, n_piles), []
+        # the part's own stretches go back to it, as a row without a pile
+        edges, rows = sh.buckets_of(keys, n_piles), [(-1, docs.column("part")[0].as_py(), first.tobytes(), b"", s["stops"].tobytes(), s["starts"].tobytes(), b"", b"")]
         for b in np.flatnonzero(np.diff(edges)):
             a, z = edges[b], edges[b + 1]
             body = b"".join(part.data[x:y].tobytes() for x, y in zip(starts[a:z], stops[a:z], strict=True))
@@ -226,14 +244,15 @@ def _pile(length: int):
         import pyarrow as pa
 
         read = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-        keys, sums, sizes, places = read("keys", np.uint64), read("sums", np.uint64), read("sizes", np.int64), read("places", np.int64)
+        keys, sizes, places = read("keys", np.uint64), read("sizes", np.int64), read("places", np.int64)
+        sums = [x.reshape(-1, 2) for x in read("sums", np.uint64)]
         many = [np.unpackbits(x, count=len(k)) for x, k in zip(read("often", np.uint8), keys, strict=True)]
         bodies = table.column("body").to_pylist()
         row = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
         begin = np.concatenate([np.cumsum(s) - s for s in sizes])
         keys, sums, sizes, places, many = map(np.concatenate, (keys, sums, sizes, places, many))
-        by = np.lexsort((sizes, sums, keys))
-        new = np.r_[True, (np.diff(keys[by]) != 0) | (np.diff(sums[by]) != 0) | (np.diff(sizes[by]) != 0)]
+        by = np.lexsort((sizes, sums[:, 1], sums[:, 0], keys))
+        new = _new_kind(keys[by], sums[by], sizes[by])
         kind = np.cumsum(new) - 1  # of the sorted stretches
         one = by[new]  # a stretch of each kind
         weight = np.minimum(np.add.reduceat(1 + many[by].astype(np.int64), np.flatnonzero(new)), 2)
@@ -256,78 +275,154 @@ def _pile(length: int):
         out: dict[int, list] = {}
         parts = table.column("part").to_pylist()
         for j, k in zip(by, kind, strict=True):
-            if weight[k] > 1:
-                runs = [(0, int(sizes[j]) - length + 1)]
-            elif len(starts := found.get(k, ())):
-                cut = np.flatnonzero(np.diff(starts) != 1)
-                runs = list(zip(np.r_[starts[0], starts[cut + 1]].tolist(), (np.r_[starts[cut], starts[-1]] + 1).tolist(), strict=True))
-            else:
-                continue
-            out.setdefault(parts[row[j]], []).extend((int(places[j]), *r) for r in runs)
-        pack = lambda rows, k: np.array([r[k] for r in rows], np.int64).tobytes()
-        return pa.table(
-            {
-                "part": pa.array(list(out), pa.int32()),
-                "level": pa.array([-1] * len(out), pa.int32()),
-                "bucket": pa.array([0] * len(out), pa.int32()),
-                "bits": pa.array([None] * len(out), pa.binary()),
-                **{name: pa.array([pack(rows, k) for rows in out.values()], pa.binary()) for k, name in enumerate(("place", "start", "stop"))},
-            }
-        )
+            runs = [(0, int(sizes[j]) - length + 1)] if weight[k] > 1 else _runs(found.get(k, ()))
+            if runs:
+                out.setdefault(parts[row[j]], []).extend((int(places[j]), *r) for r in runs)
+        return _told(out)
 
     return work
 
 
-def _finisher(length: int, grams: tuple[int, ...], n_buckets: int, with_text: bool):
+def _runs(starts) -> list[tuple[int, int]]:
+    """Ascending starts as runs, ends exclusive."""
+    if not len(starts):
+        return []
+    cut = np.flatnonzero(np.diff(starts) != 1)
+    return list(zip(np.r_[starts[0], starts[cut + 1]].tolist(), (np.r_[starts[cut], starts[-1]] + 1).tolist(), strict=True))
+
+
+def _told(out: dict[int, list]):
+    """Rows of RUNS from the runs (place, start, stop) of each part."""
+    import pyarrow as pa
+
+    pack = lambda rows, k: pa.array([np.array([r[k] for r in x], np.int64).tobytes() for x in rows], pa.binary())
+    return pa.table({"part": pa.array(list(out), pa.int32()), **{name: pack(out.values(), k) for k, name in enumerate(("place", "start", "stop"))}})
+
+
+class _Heap:
+    """A part's share of a bucket that is too large for transforms: the digests of its windows."""
+
+    def __init__(self, row, length: int, key: int):
+        self.sizes, self.places = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["places"], np.int64)
+        data = np.frombuffer(row["body"], np.uint8)
+        self.ends = np.cumsum(self.sizes)
+        self.whose = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        many = np.unpackbits(np.frombuffer(row["often"], np.uint8), count=len(self.sizes)) > 0
+        self.at = np.flatnonzero(np.arange(len(data)) + length <= self.ends[self.whose])
+        self.many = many[self.whose[self.at]]
+        self.halves = [bh.digests(data, length, key + half)[self.at] for half in (1, 2)]
+
+    def asked(self, half: int):
+        """Distinct digests and whether each occurs twice or more."""
+        values, at, counts = np.unique(self.halves[half], return_inverse=True, return_counts=True)
+        often = counts > 1
+        often[at[self.many]] = True
+        return values, often, at
+
+
+def _heap_asker(length: int, key: int, n_buckets: int):
+    """level is twice the bucket of the pile, and one more for the second half."""
+
+    def ask(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for row in b.to_pylist():
+                heap = _Heap(row, length, key)
+                for half in (0, 1):
+                    values, often, _ = heap.asked(half)
+                    yield from pa.Table.to_batches(sh.requests(row["part"], 2 * row["bucket"] + half, values, often, n_buckets))
+
+    return ask
+
+
+def _heap_finder(length: int, key: int, n_buckets: int):
+    def find(pieces, replies):
+        out: dict[int, list] = {}
+        for row in pieces.to_pylist():
+            heap = _Heap(row, length, key)
+            again = np.ones(len(heap.at), bool)
+            for half in (0, 1):
+                values, _, at = heap.asked(half)
+                again &= sh.bits_of(replies, 2 * row["bucket"] + half, values, n_buckets)[at]
+            places, whose = heap.at[again], heap.whose[heap.at[again]]
+            for k in np.unique(whose).tolist():
+                starts = places[whose == k] - (heap.ends[k] - heap.sizes[k])
+                out.setdefault(row["part"], []).extend((int(heap.places[k]), *r) for r in _runs(starts))
+        return _told(out)
+
+    return find
+
+
+def _finisher(length: int, with_text: bool):
+    """replies: the part's own stretches (in columns first, start and stop) and the runs of RUNS (first: null)."""
+
     def finish(docs, replies):
         import pyarrow as pa
 
-        docs = sh.ordered(docs, "id", "body")
-        part = _Part(docs, length, grams, n_buckets).narrow(len(grams), replies)
-        s = part.stretches()
-        first = np.r_[_kinds(s), len(s["keys"])].astype(np.int64)
-        place, start, stop = (np.concatenate([np.frombuffer(x, np.int64) for x in replies.column(c).drop_null().to_pylist()] or [np.zeros(0, np.int64)]) for c in ("place", "start", "stop"))
-        copies = np.diff(first)[place]
-        step = np.zeros(len(part.data) + 1, np.int32)
-        each = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies) + np.repeat(first[place], copies)
-        np.add.at(step, s["starts"][each] + np.repeat(start, copies), 1)
-        np.subtract.at(step, s["starts"][each] + np.repeat(stop, copies) - 1 + length, 1)
+        docs, own_row = sh.documents(docs)
+        data, offsets = sh.bodies(docs)
+        mine, place, start, stop = [], [], [], []
+        for first, *rest in zip(*(replies.column(c).to_pylist() for c in ("first", "place", "start", "stop")), strict=True):
+            if first is not None:
+                mine = [np.frombuffer(x, np.int64) for x in (first, *rest[1:])]
+            else:
+                for into, x in zip((place, start, stop), rest, strict=True):
+                    into.append(np.frombuffer(x, np.int64))
+        step = np.zeros(len(data) + 1, np.int32)
+        if place:
+            kinds, begins = np.r_[mine[0], len(mine[1])].astype(np.int64), mine[1]
+            place, start, stop = map(np.concatenate, (place, start, stop))
+            copies = np.diff(kinds)[place]
+            each = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies) + np.repeat(kinds[place], copies)
+            np.add.at(step, begins[each] + np.repeat(start, copies), 1)
+            np.subtract.at(step, begins[each] + np.repeat(stop, copies) - 1 + length, 1)
         gone = np.cumsum(step[:-1]) > 0
         heads = gone.copy()
         heads[1:] &= ~gone[:-1]
-        inner = part.offsets[:-1][part.offsets[:-1] < len(gone)]
+        inner = offsets[:-1][offsets[:-1] < len(gone)]
         heads[inner] = gone[inner]
-        count = lambda x: np.diff(np.r_[0, np.cumsum(x)][part.offsets])
+        count = lambda x: np.diff(np.r_[0, np.cumsum(x)][offsets])
         removed, spans = count(gone), count(heads)
         sums, kept = [], []
-        for k, (a, z) in enumerate(zip(part.offsets, part.offsets[1:], strict=False)):
-            own = part.data[a:z]
-            rest = (own[~gone[a:z]] if removed[k] else own).tobytes()
+        for k in np.flatnonzero(own_row):
+            a, z = offsets[k], offsets[k + 1]
+            rest = (data[a:z][~gone[a:z]] if removed[k] else data[a:z]).tobytes()
             sums.append(hashlib.sha256(rest).hexdigest())
             kept.append(rest if with_text else None)
-        return pa.table({"doc_id": docs.column("id").cast(pa.int64()), "n_bytes": pa.array(np.diff(part.offsets), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(sums, pa.string()), "kept": pa.array(kept, pa.binary())})
+        docs = docs.filter(own_row)
+        return pa.table({"doc_id": docs.column("id").cast(pa.int64()), "n_bytes": pa.array(np.diff(offsets)[own_row], pa.int64()), "n_removed": pa.array(removed[own_row], pa.int64()), "n_spans": pa.array(spans[own_row], pa.int64()), "kept_sha256": pa.array(sums, pa.string()), "kept": pa.array(kept, pa.binary()), "copies": docs.column("copies").cast(pa.int64())})
 
     return finish
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, grams: tuple[int, ...] = GRAMS, part_bytes: int = sh.PART_BYTES // 2, with_text: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, grams: tuple[int, ...] = GRAMS, part_bytes: int = sh.PART_BYTES // 2, with_text: bool = True, pile: int = PILE) -> DataFrame:
     """Per document the counts and digest of RESULT: bytes outside every string of ``length`` that starts twice."""
-    from pyspark.sql import functions as F
-
-    n_bytes = sh.text_bytes(df, text)
+    n_bytes, equal = sh.text_bytes(df, id_col, text)
     n_buckets = sh.bucket_count(n_bytes / 100)
-    n_piles = sh.part_count(2 * n_bytes, sh.PART_BYTES)
-    parts = sh.in_parts(df, id_col, text, sh.part_count(n_bytes, part_bytes)).groupBy("part")
+    n_piles, key = sh.part_count(2 * n_bytes, sh.PART_BYTES), int.from_bytes(os.urandom(7))
+    parts = sh.in_parts(df, id_col, text, sh.part_count(n_bytes, part_bytes), equal).groupBy("part")
     told: DataFrame | None = None
     for level in range(len(grams)):
         ask = _asker(level, length, grams, n_buckets)
         asked = parts.applyInArrow(ask, sh.REQUEST) if told is None else parts.cogroup(told.groupBy("part")).applyInArrow(ask, sh.REQUEST)
         told = sh.answers(asked) if told is None else told.unionByName(sh.answers(asked))
-    pieces = parts.cogroup(told.groupBy("part")).applyInArrow(_sender(length, grams, n_buckets, n_piles), PIECES)
-    runs = pieces.repartition(n_piles, "bucket").groupBy("bucket").applyInArrow(_pile(length), RUNS)
-    none = F.lit(None).cast("binary")
-    replies = told.select("part", "level", "bucket", "bits", none.alias("place"), none.alias("start"), none.alias("stop")).unionByName(runs)
-    return parts.cogroup(replies.groupBy("part")).applyInArrow(_finisher(length, grams, n_buckets, with_text), RESULT)
+    pieces = sh.cut(parts.cogroup(told.groupBy("part")).applyInArrow(_sender(length, grams, n_buckets, n_piles), PIECES))
+    sent = pieces.where("bucket >= 0")
+    large = sh.cut(sent.groupBy("bucket").agg(F.sum(F.octet_length("body")).alias("size")).where(F.col("size") > pile).select("bucket"))
+    runs = sent.join(large, "bucket", "left_anti").repartition(n_piles, "bucket").groupBy("bucket").applyInArrow(_pile(length), RUNS)
+    if not large.isEmpty():
+        heaps = sent.join(large, "bucket", "left_semi")
+        n_windows = 2 * heaps.agg(F.sum(F.octet_length("body"))).first()[0]
+        n_heaps = sh.bucket_count(n_windows)
+        asked = heaps.mapInArrow(_heap_asker(length, key, n_heaps), sh.REQUEST)
+        # a reply goes to the part's share of the bucket that asked
+        back = sh.answers(asked).withColumnRenamed("bucket", "of").withColumn("pile", F.floor(F.col("level") / 2).cast("int"))
+        found = heaps.withColumn("pile", F.col("bucket")).groupBy("part", "pile").cogroup(back.withColumnRenamed("of", "bucket").groupBy("part", "pile"))
+        runs = runs.unionByName(found.applyInArrow(_heap_finder(length, key, n_heaps), RUNS))
+    mine = pieces.where("bucket = -1").select("part", F.col("keys").alias("first"), F.lit(None).cast("binary").alias("place"), F.col("places").alias("start"), F.col("sizes").alias("stop"))
+    replies = mine.unionByName(runs.withColumn("first", F.lit(None).cast("binary")))
+    return sh.each_copy(parts.cogroup(replies.groupBy("part")).applyInArrow(_finisher(length, with_text), RESULT), equal)
 
 
 def op9_bwt_dedup(spark, sf_dir: str) -> DataFrame:

@@ -4,6 +4,11 @@ All hashes are polynomials modulo 2^64 in a fixed odd base, read off prefix
 sums and divided by the base's power at the start, so that a sequence hashes
 alike wherever it stands; a finaliser then mixes the bits. Work goes in
 stretches that fit a CPU cache, so memory stays bounded for any text.
+
+Polynomials have known collisions, so they only choose candidates. What decides
+is a digest: values are mixed in pairs, pairs of pairs and so on, with a key
+that each run draws anew, and a sequence is the mix of the two largest blocks of
+a power of two that cover it.
 """
 
 from __future__ import annotations
@@ -148,6 +153,40 @@ def anchors(grams: np.ndarray, gram: int, window: int, wanted: np.ndarray) -> tu
     return mix(least), chosen & (grams != 0)
 
 
+def _joined(left: np.ndarray, right: np.ndarray, key: np.uint64) -> np.ndarray:
+    return mix(mix(left ^ key) * np.uint64(_BASE) + right)
+
+
+def digests(values: np.ndarray, length: int, key: int) -> np.ndarray:
+    """Digest of each ``length`` consecutive values, in stretches."""
+    n, key = len(values) - length + 1, np.uint64(key)
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.empty(n, np.uint64)
+    for at in range(0, n, _STRETCH):
+        m = min(_STRETCH, n - at)
+        h, have = mix(values[at : at + m + length - 1].astype(np.uint64) + key), 1
+        while have * 2 <= length:
+            h = _joined(h[:-have], h[have:], key)
+            have *= 2
+        out[at : at + m] = _joined(h[:m], h[length - have : length - have + m], key)
+    return out
+
+
+def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int) -> np.ndarray:
+    """Digest of the bytes of each word."""
+    size, out = ends - starts, np.zeros(len(starts), np.uint64)
+    level = np.frexp(size.astype(float))[1] - 1  # of the largest block in the word
+    key = np.uint64(key)
+    h, have = mix(data.astype(np.uint64) + key), 1
+    for k in range(int(level.max(initial=-1)) + 1):
+        at = np.flatnonzero(level == k)
+        out[at] = mix(_joined(h[starts[at]], h[ends[at] - have], key) + size[at].astype(np.uint64))
+        h = _joined(h[:-have], h[have:], key)
+        have *= 2
+    return out
+
+
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values and whether each occurs twice or more."""
     values, counts = np.unique(values, return_counts=True)

@@ -26,6 +26,8 @@ from ..storage import cut, fresh, numbered, remove, scratch  # noqa: F401
 PART_BYTES = 4_000_000
 #: Distinct hashes that a bucket merges at once, about.
 BUCKET_HASHES = 2_000_000
+#: Equal rows up to which they are dealt one by one.
+EQUAL = 256
 #: Words are separated by these six bytes, in every operator that splits words.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -44,8 +46,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def text_bytes(df: DataFrame, text: str) -> int:
-    return df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+def text_bytes(df: DataFrame, id_col: str, text: str) -> tuple[int, bool]:
+    """Bytes of all texts, and whether some row occurs more often than a part may hold it."""
+    row = F.xxhash64(F.col(id_col), F.coalesce(F.col(text), F.lit("")))
+    each = df.groupBy(row.alias("row")).agg(F.count("*").alias("n"), F.sum(F.octet_length(text)).alias("size"))
+    size, most = each.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    return size, most > EQUAL
 
 
 def part_count(n_bytes: int, part_bytes: int = PART_BYTES) -> int:
@@ -56,14 +62,35 @@ def bucket_count(n_hashes: float) -> int:
     return max(1, math.ceil(n_hashes / BUCKET_HASHES))
 
 
-def in_parts(df: DataFrame, id_col: str, text: str, n_parts: int) -> DataFrame:
-    """(part, id, body): body is the text as UTF-8, null as empty; the part follows from both."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    return df.select(
-        F.pmod(F.xxhash64(F.col(id_col), body), F.lit(n_parts)).cast("int").alias("part"),
-        F.col(id_col).cast("long").alias("id"),
-        body.cast("binary").alias("body"),
-    )
+def in_parts(df: DataFrame, id_col: str, text: str, n_parts: int, equal: bool) -> DataFrame:
+    """(part, id, body, copies): body is the text as UTF-8, null as empty; the part follows from both.
+
+    With ``equal``, rows equal in id and text are counted, before they are
+    dealt, and go as one row with their number.
+    """
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    own = own.groupBy("id", "body").agg(F.count("*").alias("copies")) if equal else own.withColumn("copies", F.lit(1).cast("long"))
+    part = F.pmod(F.xxhash64("id", "body"), F.lit(n_parts)).cast("int")
+    return own.select(part.alias("part"), "id", F.col("body").cast("binary").alias("body"), "copies")
+
+
+def each_copy(df: DataFrame, equal: bool) -> DataFrame:
+    """``df`` without column copies, each row as often as that says."""
+    if equal:
+        df = df.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return df.drop("copies")
+
+
+def documents(table):
+    """The rows of a part in an order that any run repeats, those that stand for several twice, and which come first.
+
+    Twice is enough for whatever they hold to occur again.
+    """
+    table = ordered(table, "id", "body")
+    again = np.minimum(table.column("copies").to_numpy(), 2)
+    at = np.repeat(np.arange(table.num_rows), again)
+    first = np.r_[True, at[1:] != at[:-1]] if len(at) else np.zeros(0, bool)
+    return (table if (again == 1).all() else table.take(at)), first
 
 
 def buckets_of(hashes: np.ndarray, n: int) -> np.ndarray:

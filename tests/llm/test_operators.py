@@ -301,11 +301,13 @@ def test_doubling(spark, part_bytes):
     assert [r.n_removed for r in twice] == [len(words[0])] * 2
 
 
-@pytest.mark.parametrize("part_bytes", [4_000_000, 3_000])
-def test_bwt(spark, part_bytes):
-    rows = texts()
+@pytest.mark.parametrize(("part_bytes", "pile"), [(4_000_000, 10**9), (3_000, 10**9), (3_000, 1_000), (3_000, 0)])
+def test_bwt(spark, part_bytes, pile):
+    rng, rows = random.Random(2), texts()
+    passage = prose(rng, 30, 5000)
+    rows += [f"{prose(rng, 5, 9000)} {passage} {prose(rng, 5, 9000)}" for _ in range(20)]  # many kinds around one anchor
     df = frame(spark, rows)
-    out = {r.doc_id: r for r in bwt_dedup.remove_repeats(df, length=100, grams=(16, 40), part_bytes=part_bytes).collect()}
+    out = {r.doc_id: r for r in bwt_dedup.remove_repeats(df, length=100, grams=(16, 40), part_bytes=part_bytes, pile=pile).collect()}
     data = [(t or "").encode() for t in rows]
     for k, gone in enumerate(_covered(data, 100)):
         kept = bytes(b for j, b in enumerate(data[k]) if j not in gone)
@@ -314,6 +316,39 @@ def test_bwt(spark, part_bytes):
     assert bwt_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_very_many_equal_rows(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(33)
+    text = prose(rng, 100, 900)
+    df = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit(text).alias("text")).union(spark.createDataFrame([(6, text + " x"), (7, "one two"), (8, None)], "doc_id long, text string"))
+    n = len(text.encode())
+    for out, size, gone in ((doubling_dedup.remove_repeats(df), 100, 100), (bwt_dedup.remove_repeats(df), n, n)):
+        rows = Counter(tuple(r)[:3] for r in out.collect())
+        assert rows[5, size, size] == 3000 and rows[6, size + (1 if size == 100 else 2), gone] == 1 and sum(rows.values()) == 3003
+    held = {r.doc_id: r for r in class_lm.score_documents(df, frequent=20, n_classes=4).dropDuplicates(["doc_id"]).collect()}
+    learned = sum((1 if k > 5 else 3000) * {5: 101, 6: 102, 7: 3, 8: 1}[k] for k in range(5, 9) if not held[k].held_out)
+    assert held[5].train_tokens == learned and class_lm.score_documents(df, frequent=20, n_classes=4).count() == 3003
+
+
+def test_digests():
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 99, 3000).astype(np.uint8)
+    for length in (1, 2, 7, 8, 13):
+        got = bytehash.digests(data, length, 99)
+        assert len({(int(h), data[k : k + length].tobytes()) for k, h in enumerate(got)}) == len(set(got.tolist())) == len({data[k : k + length].tobytes() for k in range(len(got))})
+    text = np.frombuffer(b" a ab abc abcd abcde aab a ab " + b"x" * 70 + b" " + b"x" * 71, np.uint8)
+    starts, ends, _ = bytehash.word_bounds(text, np.array([0, len(text)]))
+    got = bytehash.word_digests(text, starts, ends, 5).tolist()
+    words = [text[a:z].tobytes() for a, z in zip(starts, ends, strict=True)]
+    assert len(set(zip(got, words, strict=True))) == len(set(got)) == len(set(words))
+    # equal under any polynomial modulo 2^64 in an odd base
+    thue = np.array([bin(k).count("1") & 1 for k in range(1024)], np.uint8) + 97
+    other = 97 + 98 - thue
+    assert bytehash.spans(thue, np.array([0]), np.array([1024])) == bytehash.spans(other, np.array([0]), np.array([1024]))
+    assert bytehash.digests(thue, 1024, 7) != bytehash.digests(other, 1024, 7)
+
+
 def test_transform_against_counting():
     rng = random.Random(7)
     for trial in range(60):
