@@ -41,6 +41,11 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def run_count(n_rows: int, run: int = RUN) -> int:
+    """Tasks for rows of a few numbers each."""
+    return max(1, math.ceil(n_rows / run))
+
+
 def fresh(name: str, taken) -> str:
     """``name``, or with underscores before it, so that no column of ``taken`` is called so in any case."""
     low = {c.lower() for c in taken}
@@ -57,7 +62,7 @@ def numbered(df: DataFrame, order: list[Column], name: str, run: int = RUN) -> D
     range. Rows that ``order`` ties are numbered in any order.
     """
     part, first = (fresh(c, [*df.columns, name]) for c in ("range_no", "range_first"))
-    n = max(1, math.ceil(df.count() / run))
+    n = run_count(df.count(), run)
     dealt = cut((df.repartitionByRange(n, *order) if n > 1 else df.coalesce(1)).withColumn(part, F.spark_partition_id()))
     sizes = dict(dealt.groupBy(part).count().collect()) if n > 1 else {0: 0}  # one number for each range
     before, rows = 0, []
