@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, run_count
 
 ROUNDS = 60
 
@@ -25,7 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges: (a, b), any integers, either direction, repeats and loops allowed.
     A round takes a few shuffles of the edges left, rounds grow with the
-    logarithm of the longest path; nothing but two numbers reaches the driver.
+    logarithm of the longest path; nothing but two numbers reaches the driver. A
+    round has a task for every million edges at least: few edges, few files.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
@@ -34,6 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen:
             break
         seen = mark
+        now = now.coalesce(run_count(mark[0]))
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         stars = _star(both, large=True).distinct()
         now = cut(_star(stars.where("b < a"), large=False).distinct())

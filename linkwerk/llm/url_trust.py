@@ -11,7 +11,8 @@ blocked if its distrust exceeds its trust by more than the fraction ``TIE``
 
 Host edges are distinct before they are used and every round is one join and
 one aggregate of them, so a host that a third of all pages link to is one row
-per linking host. Ranks only grow from round to round; they are checkpointed
+per linking host. A round has a task for every ``RUN`` edges at least, so that
+small graphs do not leave thousands of small files. Ranks only grow from round to round; they are checkpointed
 every ``CUT`` rounds, and the rounds end when all ranks together (2 at most)
 grew by less than ``SETTLED`` since the last checkpoint. What is still to come
 is then under a fourth of that. They fail after ``ROUNDS``, which damping rules
@@ -83,15 +84,17 @@ def ranks(seeds: DataFrame, graph: DataFrame, damping: float = DAMPING, settled:
     way = graph.select(F.lit(0).alias("kind"), "a", "b").union(graph.select(F.lit(1), F.col("b"), F.col("a")))
     degree = way.groupBy("kind", "a").agg(F.count("*").alias("degree"))
     way = sh.cut(way.join(degree, ["kind", "a"]).select("kind", "a", "b", (F.lit(damping) / F.col("degree")).alias("share")))
+    n = sh.run_count(way.count())
+    way = way.coalesce(n)
     start = sh.cut(seeds.select("host", F.stack(F.lit(2), F.lit(0), F.col("allowed"), F.lit(1), F.col("blocked")).alias("kind", "n")).where("n > 0"))
     total = {r.kind: r.n for r in start.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     all_ = F.when(F.col("kind") == 0, F.lit(total.get(0, 1))).otherwise(F.lit(total.get(1, 1)))
-    base = sh.cut(start.select("kind", F.col("host").alias("b"), (F.col("n") * F.lit(1 - damping) / all_).alias("r")))
+    base = sh.cut(start.select("kind", F.col("host").alias("b"), (F.col("n") * F.lit(1 - damping) / all_).alias("r"))).coalesce(n)
     now, mass = base, 0.0
     for _ in range(ROUNDS // CUT):
         for _ in range(CUT):
             moved = way.join(now.select("kind", F.col("b").alias("a"), "r"), ["kind", "a"]).select("kind", "b", (F.col("r") * F.col("share")).alias("r"))
-            now = moved.union(base).groupBy("kind", "b").agg(F.sum("r").alias("r"))
+            now = moved.union(base).groupBy("kind", "b").agg(F.sum("r").alias("r")).coalesce(n)
         now = sh.cut(now)
         before, mass = mass, now.agg(F.coalesce(F.sum("r"), F.lit(0.0))).first()[0]
         if mass - before < settled:
