@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -34,9 +35,28 @@ class DuplicateChecker:
         """Totals and the first matches, as plain values."""
         return {**report.summary(matches).first().asDict(), "top_matches": [r.asDict(recursive=True) for r in report.top(matches, k).collect()]}
 
-    def export(self, matches: DataFrame, df: DataFrame, path: str, wide: bool = False) -> bool:
+    def export(self, matches: DataFrame, df: DataFrame, path: str, wide: bool = False, single: bool = False) -> bool:
+        """Writes a folder of CSV files, or one file that a single task writes. False, and nothing, for no matches."""
         rows = (sinks.export_rows_wide if wide else sinks.export_rows)(matches, df)
-        return sinks.write_single_csv(rows, path)
+        return (sinks.write_single_csv if single else sinks.write_csv)(rows, path)
+
+    def listing(self, matches: DataFrame, df: DataFrame, k: int = 20) -> DataFrame:
+        """The first k matches with rank, readable type and names."""
+        return report.listing(matches, df, k)
+
+    def block_statistics(self, df: DataFrame) -> DataFrame:
+        """Number and sizes of the blocks, and how many are split."""
+        key = matching.blocking.blocking_key(self.settings.blank_plz, self.settings.phonetic_blocks)
+        return matching.blocking.statistics(df.withColumn("block_key", key), self.settings.chunk)
+
+    def benchmark(self, df: DataFrame, sizes=(1_000, 5_000, 10_000), confidence: float = 70.0) -> list[dict]:
+        """For each size the matches of a seeded sample, rows a second and the time all rows would take at that pace."""
+        out = []
+        for n in sizes:
+            began = time.time()
+            found = self.find_duplicates(report.sample(df, n), confidence).count()
+            out.append({"n_rows": n, "n_matches": found, **report.throughput(n, time.time() - began)})
+        return out
 
     @staticmethod
     def prepare(df: DataFrame, key: str | None = None, clean: bool = False) -> DataFrame:

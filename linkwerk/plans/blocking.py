@@ -70,3 +70,9 @@ def reduction(df: DataFrame) -> DataFrame:
     ).withColumn("pairs_all", pairs(F.col("n_rows")))
     saved = F.when(F.col("pairs_all") > 0, F.lit(100.0) * (F.col("pairs_all") - F.col("pairs_blocked")) / F.col("pairs_all")).otherwise(F.lit(0.0))
     return s.select("n_blocks", "n_rows", "pairs_all", "pairs_blocked", saved.alias("saved_percent"))
+
+
+def statistics(df: DataFrame, size: int | None = CHUNK) -> DataFrame:
+    """One row: blocks, rows, mean and largest size, and how many blocks exceed ``size``; mean and largest are null for no rows."""
+    over = F.lit(0).cast("long") if size is None else F.count_if(F.col("n_rows") > size)
+    return block_sizes(df).agg(F.count("*").alias("n_blocks"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.avg("n_rows").alias("mean_size"), F.max("n_rows").alias("largest"), over.alias("n_split"))

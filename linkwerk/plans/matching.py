@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..functions.phonetics import cologne
-from ..functions.similarity import at_most, indel
+from ..functions.similarity import at_most, name_scores
+from ..storage import cut
 from . import blocking
 
 ADDRESS = ["Strasse", "HausNummer", "Plz", "Ort"]
@@ -115,7 +116,8 @@ def scored_pairs(pairs: DataFrame, least: float | None = None) -> DataFrame:
     if least is not None:
         top = lambda x, y: (at_most(F.col(x[0]), F.col(x[1])) + at_most(F.col(y[0]), F.col(y[1]))) / 2
         pairs = pairs.where(F.greatest(top(("a_v", "b_v"), ("a_n", "b_n")), top(("a_v", "b_n"), ("a_n", "b_v"))) >= least - 1e-9)
-    pairs = pairs.withColumn("normal_score", (indel("a_v", "b_v") + indel("a_n", "b_n")) / 2).withColumn("swapped_score", (indel("a_v", "b_n") + indel("a_n", "b_v")) / 2)
+    pairs = pairs.withColumn("scores", name_scores("a_v", "a_n", "b_v", "b_n"))
+    pairs = pairs.withColumns({"normal_score": F.col("scores.normal"), "swapped_score": F.col("scores.swapped")}).drop("scores")
     return pairs.withColumns({"best_score": F.greatest("normal_score", "swapped_score"), "is_swapped": F.col("swapped_score") > F.col("normal_score")})
 
 
@@ -143,8 +145,8 @@ def fuzzy(feats: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def blocked_two_stage(df: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The default plan: exact pairs, then fuzzy pairs among records that have none."""
-    feats = features(df, s)
-    first = exact(feats)
+    feats = cut(features(df, s))
+    first = cut(exact(feats))
     return first.unionByName(fuzzy(unmatched(feats, first), s))
 
 
@@ -181,42 +183,55 @@ def _plain_exact(pairs: DataFrame) -> DataFrame:
 
 def _plain_fuzzy(pairs: DataFrame, s: Settings) -> DataFrame:
     pairs = pairs.select("*", *address_scores(False))
-    pairs = scored_pairs(pairs.where(60 + 30 * F.col("address_ratio") >= s.confidence)).where(F.col("best_score") >= s.fuzzy)
+    pairs = scored_pairs(pairs.where(60 + 30 * F.col("address_ratio") >= s.confidence), s.fuzzy).where(F.col("best_score") >= s.fuzzy)
     confidence = F.least(F.col("best_score") * 50 + F.col("address_ratio") * 30 + F.when(F.col("is_swapped"), 10).otherwise(0), F.lit(95.0))
     kind = F.when(F.col("is_swapped"), "fuzzy_swapped").otherwise("fuzzy_normal")
     return pairs.withColumn("confidence", confidence).where(F.col("confidence") >= s.confidence).select(*_result(kind, F.col("confidence"), True))
 
 
-def global_two_stage(df: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """Without blocks: equal raw fields, then similar names with compatible postal codes.
+def _equal_pairs(feats: DataFrame, rule: Column) -> DataFrame:
+    """Pairs whose raw fields agree wherever both are set, some field at least.
 
-    Fields that are null on either side are left out, so exact pairs are one
-    hash join for each two sets of fields that are null in some record.
+    Each record goes by the hash of its fields in every set of fields that it
+    has in common with some record (64 sets at most), and a pair meets in the
+    set of the fields that both have.
     """
-    feats = _plain_features(df)
     mask = reduce(Column.__add__, [F.when(F.col(c).isNotNull(), 1 << k).otherwise(0) for k, c in enumerate(_RAW)])
     feats = feats.withColumn("mask", mask)
     there = sorted(r[0] for r in feats.select("mask").distinct().collect())  # 64 at most
-    a, b = _sides(feats)
+    common = sorted({x & y for x in there for y in there} - {0})
+    held = F.filter(F.array(*map(F.lit, common)) if common else F.array().cast("array<int>"), lambda c: c.bitwiseAND(F.col("mask")) == c)
+    keyed = feats.withColumn("fields", F.explode(held))
+    keyed = keyed.withColumn("same", F.xxhash64("fields", *(F.when(F.col("fields").bitwiseAND(F.lit(1 << k)) != 0, F.col(c)) for k, c in enumerate(_RAW))))
+    a, b = _sides(keyed)
+    on = (F.col("a_fields") == F.col("b_fields")) & (F.col("a_same") == F.col("b_same")) & (F.col("a_mask").bitwiseAND(F.col("b_mask")) == F.col("a_fields"))
+    return a.join(b, on & rule & _all_equal())
+
+
+def global_two_stage(df: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Without blocks: equal raw fields, then similar names with compatible postal codes.
+
+    A blank code fits any. Records with one are compared with all of their year:
+    they are sent to as many tasks as shuffles have, among which the others are dealt.
+    """
+    feats = cut(_plain_features(df))
     rule = second_name_rule_plain() & F.col("a_year").eqNullSafe(F.col("b_year")) & (F.col("a_row_id") < F.col("b_row_id"))
-    found = []
-    for x in there:
-        for y in there:
-            if x & y:
-                same = [F.col(f"a_{c}") == F.col(f"b_{c}") for k, c in enumerate(_RAW) if x & y & 1 << k]
-                found.append(a.where(F.col("a_mask") == x).join(b.where(F.col("b_mask") == y), reduce(Column.__and__, [*same, rule])))
-    none = a.join(b, rule & F.lit(False))
-    first = _plain_exact(reduce(DataFrame.unionByName, found, none)) if s.confidence <= 100 else _plain_exact(none)
+    pairs = _equal_pairs(feats, rule)
+    first = cut(_plain_exact(pairs if s.confidence <= 100 else pairs.where(F.lit(False))))
     rest = unmatched(feats, first)
     a, b = _sides(rest)
     equal = a.join(b, rule & (F.col("a_plz") == F.col("b_plz")))
-    blank_a = a.where("a_plz = ''").join(b.where("b_plz <> ''"), rule)
-    blank_b = a.where("a_plz <> ''").join(b.where("b_plz = ''"), rule)
-    return first.unionByName(_plain_fuzzy(equal.unionByName(blank_a).unionByName(blank_b), s))
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda d, c: d.where(f"{c}_plz <> ''").withColumn(f"{c}_salt", F.pmod(F.xxhash64(f"{c}_row_id"), F.lit(salts)).cast("int"))
+    to_all = lambda d, c: d.where(f"{c}_plz = ''").withColumn(f"{c}_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    blank_a = to_all(a, "a").join(dealt(b, "b"), rule & (F.col("a_salt") == F.col("b_salt")))
+    blank_b = dealt(a, "a").join(to_all(b, "b"), rule & (F.col("a_salt") == F.col("b_salt")))
+    blank = blank_a.unionByName(blank_b).drop("a_salt", "b_salt")
+    return first.unionByName(_plain_fuzzy(equal.unionByName(blank), s))
 
 
 def blocked_single_stage(df: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Within blocks: a pair is exact, or else compared by similarity."""
-    pairs = _pairs(_plain_features(df.withColumn("block_key", blocking.blocking_key_literal())), "block_key", extra=second_name_rule_plain())
+    pairs = _pairs(cut(_plain_features(df.withColumn("block_key", blocking.blocking_key_literal()))), "block_key", extra=second_name_rule_plain())
     is_exact = _all_equal() if s.confidence <= 100 else F.lit(False)
     return _plain_exact(pairs.where(is_exact)).unionByName(_plain_fuzzy(pairs.where(~is_exact), s))

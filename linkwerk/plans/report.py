@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import label
+from ..storage import numbered
+
 
 def breakdown(matches: DataFrame) -> DataFrame:
     return matches.groupBy("match_type").agg(F.count("*").alias("n_matches"))
@@ -39,6 +42,20 @@ def top(matches: DataFrame, k: int = 10) -> DataFrame:
     return ranked(matches).limit(k)
 
 
+def listing(matches: DataFrame, records: DataFrame, k: int | None = None) -> DataFrame:
+    """Matches from the first rank on, with rank_no from 1, a readable type and both names."""
+    order = [F.desc("confidence"), F.col("record_a"), F.col("record_b")]
+    own = numbered(matches if k is None else top(matches, k), order, "rank_no").withColumns({"rank_no": F.col("rank_no") + 1, "label": label(F.col("match_type"))})
+    name = lambda s: records.select(F.col("row_id").alias(f"record_{s}"), F.concat_ws(" ", "Vorname", "Name").alias(f"name_{s}"))
+    return own.join(name("a"), "record_a").join(name("b"), "record_b").select("rank_no", "label", "confidence", "record_a", "name_a", "record_b", "name_b")
+
+
+def throughput(n_rows: int, seconds: float, total: int = 7_500_000) -> dict:
+    """Rows a second, and the seconds that ``total`` rows would take at that pace."""
+    pace = n_rows / seconds if seconds > 0 else 0.0
+    return {"rows_per_second": pace, "seconds_for_total": total / pace if pace else None}
+
+
 def only(matches: DataFrame, kinds: list[str] | None = None, swapped: bool | None = None, least: float | None = None) -> DataFrame:
     """Matches of some types, in swapped order or not, from a confidence on."""
     if kinds is not None:
@@ -50,4 +67,4 @@ def only(matches: DataFrame, kinds: list[str] | None = None, swapped: bool | Non
 
 def sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows (or all), the same at every run."""
-    return df.orderBy(F.xxhash64("row_id", F.lit(seed)), "row_id").limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("row_id").cast("string")).cast("binary")), "row_id").limit(n)

@@ -50,14 +50,27 @@ def jdbc_url(server: str, database: str) -> str:
     return f"jdbc:sqlserver://{server};databaseName={database};integratedSecurity=true;encrypt=true"
 
 
-def load(spark: SparkSession, url: str, table: str, limit: int | None = None, newest_first: bool = False, partition: dict | None = None, **options) -> DataFrame:
-    """Addresses from a database; projection, lag filter, order and limit are pushed down.
+def newest(df: DataFrame, limit: int | None = None, tie: str | None = None) -> DataFrame:
+    """The latest entered first; ``tie`` orders those of one moment."""
+    df = df.orderBy(F.desc("Erfasst"), *([tie] if tie else []))
+    return df if limit is None else df.limit(limit)
 
-    partition: partitionColumn, lowerBound, upperBound and numPartitions, to read in parallel.
-    """
-    df = spark.read.format("jdbc").options(url=url, dbtable=table, **(partition or {}), **options).load()
-    df = settled(df.select(*(c for c in [*FIELDS, "Erfasst"] if c in df.columns)))
-    df = df.orderBy(F.desc("Erfasst")) if newest_first else df
+
+def jdbc_options(url: str, table: str | None = None, query: str | None = None, partition: dict | None = None) -> dict:
+    """Options of a read. partition (partitionColumn, lowerBound, upperBound, numPartitions) needs a table."""
+    if (table is None) == (query is None):
+        raise ValueError("give a table or a query")
+    if query is not None and partition:
+        raise ValueError("only a table can be read in partitions")
+    return {"url": url, **({"dbtable": table} if table else {"query": query}), **(partition or {})}
+
+
+def load(spark: SparkSession, url: str, table: str | None = None, limit: int | None = None, newest_first: bool = False, partition: dict | None = None, query: str | None = None, **options) -> DataFrame:
+    """Addresses from a database; projection, lag filter, order and limit are pushed down. A query is read as it is."""
+    df = spark.read.format("jdbc").options(**jdbc_options(url, table, query, partition), **options).load()
+    if query is None:
+        df = settled(df.select(*(c for c in [*FIELDS, "Erfasst"] if c in df.columns)))
+    df = newest(df) if newest_first else df
     return df if limit is None else df.limit(limit)
 
 
@@ -91,21 +104,38 @@ def synthetic(spark: SparkSession, n: int, seed: int = 42, copies: float = 0.1)
 
 
 def from_documents(docs: DataFrame) -> DataFrame:
-    """Stand-in records from a table of documents: names are the first words, blocks are language and source."""
-    w = F.split(F.regexp_replace(F.coalesce("text", F.lit("")), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+", 4)
-    word = lambda k: F.coalesce(F.get(w, F.lit(k)), F.lit(""))
-    turned, born = F.col("doc_id") % 5 == 0, (F.length(word(0)) % 3 + 1950).cast("string")
-    number = F.regexp_replace(F.coalesce("source", F.lit("")), "[^0-9]", "")
-    rows = docs.select(
-        F.col("doc_id"),
-        F.when(turned, word(1)).otherwise(word(0)).alias("Vorname"),
-        F.when(turned, word(0)).otherwise(word(1)).alias("Name"),
-        F.when(F.length(word(2)) % 7 == 0, word(2)).otherwise("").alias("Name2"),
-        F.concat(F.col("lang"), F.element_at(F.array(F.lit("str."), F.lit("strasse"), F.lit("straße")), (F.col("doc_id") % 3 + 1).cast("int"))).alias("Strasse"),
-        number.alias("HausNummer"),
-        (F.ascii(F.substring("lang", 2, 1)) * 10 + 1000 + F.length("source") * 1000 + F.coalesce(number.try_cast("int"), F.lit(0)) * 100).cast("string").alias("Plz"),
-        F.col("lang").alias("Ort"),
-        F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("01.01."), born)).otherwise("").alias("Geburtstag"),
-        F.when(F.col("doc_id") % 2 == 1, F.concat(born, F.lit(".0"))).otherwise("").alias("Jahrgang"),
+    """Stand-in records from a table of documents: two for each, the second altered by the id.
+
+    Names are words of the whole text, picked by its number of words; blocks are
+    language, source and the number of words modulo 7. Alterations (id modulo
+    24): 1 names exchanged, 2 a letter of the last name, 3 the vowels of both
+    names, 4 these exchanged as well, 5 year and birthday exchanged, 6 second
+    name joined by a hyphen, 7 (one in five) blank postal code on both, 8 no
+    street, 9 no postal code, 10 no house number and place, 11 year 0, 12 no
+    year on either, 13 no address, 14 another day, 15 vowels of the first name.
+    """
+    w = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    word = lambda part: F.coalesce(F.get("w", F.floor(F.col("n") / part).cast("int") % F.greatest("n", F.lit(1))), F.lit(""))
+    rows = docs.select("doc_id", "lang", "source", w.alias("w")).withColumn("n", F.size("w"))
+    rows = rows.select("doc_id", "lang", "source", "n", word(3).alias("v"), word(2).alias("l"), word(5).alias("m"), F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+    kind, number = F.pmod("doc_id", F.lit(24)), F.regexp_replace(F.coalesce("source", F.lit("")), "[^0-9]", "")
+    is_ = lambda *kinds: (F.col("side") == 1) & kind.isin(*kinds)
+    none, turned = F.lit(None).cast("string"), lambda c: F.translate(c, "aeo", "eoa")
+    first = F.when(is_(3, 4, 15), turned("v")).otherwise(F.col("v"))
+    last = F.when(is_(3, 4), turned("l")).when(is_(2), F.replace("l", F.lit("e"), F.lit("a"))).when(is_(6), F.concat_ws("-", "l", "m")).otherwise(F.col("l"))
+    born, even = (F.length("v") % 3 + 1950).cast("string"), F.when(is_(5), F.col("doc_id") % 2 == 1).otherwise(F.col("doc_id") % 2 == 0)
+    undated = (kind == 12) | is_(11)
+    rows = rows.select(
+        (F.col("doc_id") * 2 + F.col("side")).alias("row_id"),
+        F.when(is_(1, 4), last).otherwise(first).alias("Vorname"),
+        F.when(is_(1, 4), first).otherwise(last).alias("Name"),
+        F.when(kind == 6, F.when(F.col("side") == 1, "").otherwise(F.col("m"))).when(F.col("n") % 4 == 0, F.col("m")).when(F.col("n") % 4 == 1, none).otherwise("").alias("Name2"),
+        F.when(~is_(8, 13), F.concat(F.col("lang"), F.element_at(F.array(F.lit("str."), F.lit("strasse"), F.lit("straße")), ((F.col("doc_id") + F.col("side")) % 3 + 1).cast("int")))).alias("Strasse"),
+        F.when(~is_(10), number).alias("HausNummer"),
+        F.when(is_(9, 13), none).when((kind == 7) & (F.col("doc_id") % 5 == 0), "").otherwise((F.ascii(F.substring("lang", 2, 1)) * 10 + 1000 + F.length("source") * 1000 + F.coalesce(number.try_cast("int"), F.lit(0)) * 100 + F.col("n") % 7).cast("string")).alias("Plz"),
+        F.when(~is_(10), F.col("lang")).alias("Ort"),
+        F.when(F.col("side") == 0, F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("C"), F.col("doc_id")))).when(F.col("doc_id") % 2 == 0, F.concat(F.lit("K"), F.col("doc_id"))).otherwise("").alias("Crefo"),
+        F.when(undated, none).when(is_(14), F.concat(born, F.lit("-03-02"))).when(even, F.concat(F.lit("01.01."), born)).otherwise("").alias("Geburtstag"),
+        F.when(kind == 12, none).when(is_(11), "0").when(is_(14) | even, "").otherwise(F.concat(born, F.lit(".0"))).alias("Jahrgang"),
     )
-    return canonical(rows, "doc_id")
+    return canonical(rows, "row_id")

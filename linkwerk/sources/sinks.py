@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-from itertools import chain
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import full_name
+from ..storage import remove
 
 _PERSON = {"vorname": "Vorname", "name": "Name", "name2": "Name2", "strasse": "Strasse", "hausnummer": "HausNummer", "plz": "Plz", "ort": "Ort", "crefo": "Crefo", "geburtstag": "Geburtstag", "jahrgang": "Jahrgang"}
 COLUMNS = ["match_id", "confidence", "match_type", "position", "index", *_PERSON]
@@ -52,20 +50,25 @@ def export_rows_wide(matches: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(rows: DataFrame, path: str) -> None:
-    """Distributed: a folder of CSV files with headers."""
-    rows.write.option("header", True).csv(path)
+def write_csv(rows: DataFrame, path: str) -> bool:
+    """A folder of CSV files with headers, one for each task; none for no rows."""
+    if rows.isEmpty():
+        return False
+    rows.write.options(header=True, escape='"').csv(path)
+    return True
 
 
 def write_single_csv(rows: DataFrame, path: str) -> bool:
-    """One UTF-8 file with a byte-order mark, streamed through the driver; none for no rows."""
-    stream = rows.toLocalIterator()
-    first = next(stream, None)
-    if first is None:
+    """One UTF-8 file with a byte-order mark, written by one task; none for no rows."""
+    if rows.isEmpty():
         return False
-    with open(path, "w", newline="", encoding="utf-8-sig") as f:
-        out = csv.writer(f)
-        out.writerow(rows.columns)
-        for row in chain([first], stream):
-            out.writerow(["" if x is None else x for x in row])
+    spark, parts = rows.sparkSession, f"{path}.parts"
+    marked = rows.withColumnRenamed(rows.columns[0], "\ufeff" + rows.columns[0])
+    marked.coalesce(1).write.options(header=True, escape='"', emptyValue="").mode("overwrite").csv(parts)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = next(f.getPath() for f in fs.listStatus(fs_path(parts)) if f.getPath().getName().startswith("part-"))
+    fs.delete(fs_path(path), False)
+    fs.rename(found, fs_path(path))
+    remove(spark, parts)
     return True

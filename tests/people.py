@@ -1,5 +1,6 @@
 """Person records with known matches; the last two of the compound-name case are made up."""
 
+# fixed values: rows, and what is expected of them, that every implementation of these rules is held against
 COLUMNS = ["row_id", "Vorname", "Name", "Name2", "Strasse", "HausNummer", "Plz", "Ort", "Geburtstag", "Jahrgang"]
 
 

@@ -4,10 +4,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from linkwerk import queries
+from linkwerk import queries, storage
 from linkwerk.functions import names
 from linkwerk.functions.phonetics import cologne
-from linkwerk.functions.similarity import indel, indel_native, lcs, ratio
+from linkwerk.functions.similarity import indel, indel_native, lcs, ratio, ratios
 from linkwerk.operators import DuplicateChecker
 from linkwerk.plans import blocking, matching, report
 from linkwerk.sources import records, sinks
@@ -204,12 +204,23 @@ def test_export_and_report(spark, tmp_path):
     df = people.frame(spark)
     checker = DuplicateChecker(fuzzy_threshold=0.75)
     matches = checker.find_duplicates(df, 60.0)
-    assert checker.export(matches, df, str(tmp_path / "out.csv"))
+    assert checker.export(matches, df, str(tmp_path / "out.csv"), single=True)
     text = (tmp_path / "out.csv").read_bytes()
     assert text.startswith(b"\xef\xbb\xbfmatch_id,confidence,match_type,position,index,vorname,name,name2,strasse,hausnummer,plz,ort,crefo,geburtstag,jahrgang")
     assert text.count(b"\n") == 27
-    assert not checker.export(matches.limit(0), df, str(tmp_path / "none.csv")) and not (tmp_path / "none.csv").exists()
+    assert not checker.export(matches.limit(0), df, str(tmp_path / "none.csv"), single=True) and not checker.export(matches.limit(0), df, str(tmp_path / "none.csv")) and not (tmp_path / "none.csv").exists()
     assert sinks.export_rows_wide(matches, df).columns == sinks.WIDE
+    assert checker.export(matches, df, str(tmp_path / "parts"), wide=True)
+    back = spark.read.csv(str(tmp_path / "parts"), header=True, escape='"')
+    assert back.columns == sinks.WIDE and back.count() == 26
+    shown = checker.listing(matches, df, 3).orderBy("rank_no").collect()
+    assert [(x.rank_no, x.label, x.confidence) for x in shown] == [(k, "EXACT NORMAL", 100.0) for k in (1, 2, 3)] and shown[0].name_a == "Max Mustermann"
+    sizes = checker.block_statistics(df).first()
+    assert (sizes.n_blocks, sizes.n_rows, sizes.largest, sizes.n_split) == (16, 31, 2, 0) and abs(sizes.mean_size - 31 / 16) < 1e-9
+    assert checker.block_statistics(df.limit(0)).first().mean_size is None
+    timed = checker.benchmark(df, (10, 50), 60.0)
+    assert [x["n_rows"] for x in timed] == [10, 50] and timed[1]["n_matches"] == 13 and timed[1]["rows_per_second"] > 0
+    assert report.throughput(1000, 2.0, 5000) == {"rows_per_second": 500.0, "seconds_for_total": 10.0} and report.throughput(0, 1.0)["seconds_for_total"] is None
     r = checker.report(matches)
     assert (r["n_matches"], r["n_exact"], r["n_fuzzy"], r["n_swapped"], len(r["top_matches"])) == (13, 6, 7, 3, 10)
     assert checker.report(matches.limit(0))["mean_confidence"] == 0
@@ -247,8 +258,90 @@ def test_queries_need_no_session():
 
 def test_queries_keep_large_blocks_whole(spark, tmp_path):
     letters = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:05d}")
-    # no id of a pair is a multiple of 5, where names are swapped; the two are 10,000 rows apart
-    rows = [(k, f"{letters(k % 10_010 if k > 10_010 else k)} meier", "de", "src1", 11) for k in range(1, 10_014)]
+    # the first records of documents 5,010 apart agree, in a block of 10,026
+    rows = [(k, f"{letters(k % 5_010 if k > 5_010 else k)} meier", "de", "src1", 11) for k in range(1, 5_014)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     found = queries.queries()["exact_matches"](spark, str(tmp_path)).collect()
-    assert {(r.record_a, r.record_b) for r in found} == {(1, 10_011), (2, 10_012), (3, 10_013)}
+    assert {(2, 10_022), (4, 10_024), (6, 10_026)} <= {(r.record_a, r.record_b) for r in found}
+
+
+def test_similarity_of_many():
+    rng = random.Random(7)
+    word = lambda m: "".join(rng.choice("abcdeü") for _ in range(rng.randrange(m)))
+    a = [word(12) for _ in range(500)] + [word(80) for _ in range(100)] + ["x" * 64, "x" * 64, None, "", "a" * 65]
+    b = [word(12) for _ in range(500)] + [word(80) for _ in range(100)] + ["x" * 64, "y" * 64, "a", "a", "a" * 65]
+    assert ratios(a, b).tolist() == [ratio(x, y) for x, y in zip(a, b, strict=True)] and len(ratios([], [])) == 0
+
+
+def test_rows_are_numbered_by_ranges(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"), F.lit("z").alias("range_no"))
+    for run in (10**6, 90):
+        got = storage.numbered(df, [F.desc("x")], "place", run)
+        assert got.columns == ["x", "range_no", "place"] and all(r.place == 999 - r.x for r in got.collect())
+    assert storage.numbered(df.limit(0), [F.col("x")], "place").count() == 0
+    made = records.canonical(spark.createDataFrame([("b", "n", "s", "1"), ("a", "n", None, "1"), ("a", "n", "s", "1")], "Vorname string, Name string, Strasse string, Plz string"))
+    assert [(r.row_id, r.Vorname, r.Strasse) for r in made.orderBy("row_id").collect()] == [(0, "a", None), (1, "a", "s"), (2, "b", "s")]
+    try:
+        records.canonical(spark.range(1))
+        raise AssertionError
+    except ValueError as e:
+        assert "Vorname" in str(e)
+
+
+def test_database_options():
+    import pytest
+
+    url = records.jdbc_url("host", "db")
+    assert url.startswith("jdbc:sqlserver://host;databaseName=db;")
+    parts = {"partitionColumn": "id", "lowerBound": 0, "upperBound": 9, "numPartitions": 3}
+    assert records.jdbc_options(url, "people", partition=parts) == {"url": url, "dbtable": "people", **parts}
+    assert records.jdbc_options(url, query="SELECT 1") == {"url": url, "query": "SELECT 1"}
+    for bad in ({}, {"table": "a", "query": "b"}, {"query": "b", "partition": parts}):
+        with pytest.raises(ValueError):
+            records.jdbc_options(url, **bad)
+
+
+def test_newest_first_and_lag(spark):
+    now = F.lit("2024-02-10").cast("timestamp")
+    df = spark.createDataFrame([(k, f"2024-02-0{k}") for k in range(1, 8)], "k int, d string").withColumn("Erfasst", F.col("d").cast("timestamp"))
+    assert [r.k for r in records.newest(records.settled(df, now)).collect()] == [2, 1] and [r.k for r in records.newest(df, 3).collect()] == [7, 6, 5]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from linkwerk import cli
+
+    people.frame(spark).withColumn("id", F.col("row_id")).write.parquet(str(tmp_path / "in"))
+    common = [str(tmp_path / "in"), "--key", "id", "--confidence", "60", "--fuzzy-threshold", "0.75"]
+    cli.main([*common, "--output", str(tmp_path / "out"), "--benchmark", "--no-parallel"])
+    assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 26 and "rows/s" in capsys.readouterr().out
+    cli.main([*common, "--output", str(tmp_path / "one.csv"), "--single-file", "--mode", "blocked"])
+    assert (tmp_path / "one.csv").read_text(encoding="utf-8-sig").startswith("match_id,")
+    cli.main([*common, "--limit", "0", "--output", str(tmp_path / "none")])
+    assert not (tmp_path / "none").exists() and "no matches" in capsys.readouterr().out
+
+
+def test_exact_pairs_with_null_fields(spark):
+    rng = random.Random(4)
+    pick = lambda *values: rng.choice(values)
+    rows = [(k, pick("Max", "Eva"), pick("Moor", "Tal"), "", pick("Weg", None), pick("1", None), pick("10000", "", None), pick("Ort", None), "1980-01-01", None) for k in range(60)]
+    found = DuplicateChecker("global", 0.7).find_duplicates(people.frame(spark, rows), 60.0).where("match_type = 'exact'")
+    same = lambda a, b: all(x == y for x, y in zip(a, b, strict=True) if x is not None and y is not None)
+    fields = lambda r: (r[1], r[2], *r[4:8])
+    assert {(r.record_a, r.record_b) for r in found.collect()} == {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and same(fields(a), fields(b))}
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    import pytest
+
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            get = staticmethod(lambda k, d: d)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session)
