@@ -23,16 +23,18 @@ Exact copies share a fingerprint and are one node however many there are.
 ``keep_one`` is the stage for training data: near duplicates are texts whose
 sets of five-word shingles have a Jaccard similarity of 0.8 or more. Fingerprints
 there have 128 bits, voted over distinct shingles as the sets are compared, and a
-shard is the texts that share one of ``KEYS`` minimum shingle hashes. First each
-text is compared with its shards' leaders (2 per group at most, mostly), then with
-``BLOCK`` others of a shard that are still in another group, so a group of any
-number of copies of one text links in proportion to its size. Then only shards
-whose members are still in different groups are searched, by BK-trees within
-``WIDE`` bits, for pairs across groups; hot ones are dealt again by a further
-minimum hash. Every link is verified on the sets of 64-bit shingle
-hashes, which are sent once for each pair. A pair at exactly 0.8 is missed with
-a probability of about 0.2 ** KEYS (no common minimum; 3e-6), in shards that are
-hot 8e-5 (one common minimum), and 3e-6 (further apart than WIDE bits).
+shard is the texts that share one of ``KEYS`` minimum shingle hashes. A pair is
+compared in the shard of the first minimum it shares and nowhere else: by trees
+within ``WIDE`` bits, and then on the sets of 64-bit shingle hashes, which are
+sent to a shard only with texts that have such a neighbour there. First shards
+of the first minima are cut into trees of ``TREE`` texts that are searched each
+by itself, which joins the copies of one text at a cost in proportion to their
+number. Then all shards whose members are still in different groups are searched
+for pairs across groups. Hot ones are dealt again by a further minimum; where
+that does not help, texts outside the shard's largest group visit all its trees.
+A task holds one tree with its sets and sends stars, not pairs. A pair at
+exactly 0.8 is missed with a probability of 0.2 ** KEYS (no common minimum;
+3e-6), in a hot shard 8e-5 (one common minimum), and some 3e-6 (beyond WIDE).
 
 Defined results: null or wordless text has fingerprint zero and is linked like
 any other, and to ``keep_one`` all such texts are one; component_id is the
@@ -67,12 +69,12 @@ LEVELS = 3
 _CHUNK = 1 << 16
 SIMILAR, WORDS = 0.8, 5
 KEYS, WIDE = 8, 44
-#: Members of a shard that are compared with each other before all are, and the minimum hashes that deal them.
-BLOCK, BLOCK_KEYS = 32, 4
+#: Texts, with their sets, in one tree, at most about.
+TREE = 1024
 #: Rows of a table of nodes up to which it is broadcast (16 bytes each).
 FEW = 500_000
-#: Pairs of one node that go to one task, about.
-SALT = 2000
+#: Minimum hashes whose shards are searched first, tree by tree.
+FIRST = 2
 _TURNS = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) | 1 for k in range(KEYS)], np.uint64)
 
 
@@ -371,135 +373,151 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both >= SIMILAR * (len(few) + len(many) - both)
 
 
-def _verify(batches):
-    import pyarrow as pa
-
-    for b in batches:
-        read = lambda c: [np.frombuffer(x.as_py(), np.uint64) for x in b.column(c)]  # noqa: B023, E731
-        good = pa.array([similar(x, y) for x, y in zip(read("a_set"), read("b_set"), strict=True)], pa.bool_())
-        yield pa.RecordBatch.from_arrays([b.column("a").filter(good), b.column("b").filter(good)], ["a", "b"])
-
-
 def _few(df: DataFrame) -> DataFrame:
     """``df``, cut, to be broadcast if it has at most ``FEW`` rows."""
     df = sh.cut(df)
     return F.broadcast(df) if df.count() <= FEW else df
 
 
-def verified(texts: DataFrame, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those pairs (a, b) of nodes that are similar. texts: (node, id, body); rows: the (node, id) that stands for each node."""
-    pairs = sh.cut(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    own = _few(rows.join(wanted, "node", "left_semi"))
-    # by id too, so that the copies of one text are not dealt to one task
-    bodies = texts.join(own.withColumnRenamed("node", "own").withColumnRenamed("id", "own_id"), (F.col("node") == F.col("own")) & F.col("id").eqNullSafe(F.col("own_id")), "left_semi")
-    sets = sh.cut(bodies.mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"]))
-    # the sets of nodes with very many pairs go to several tasks
-    salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(SALT)).cast("int").alias("salts"))
-    left = pairs.join(salts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
-    left = left.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("a_set")), "a")
-    right = sets.join(salts, sets.node == salts.b).select("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("shingles").alias("b_set"))
-    return left.join(right, ["b", "salt"]).select("a", "b", "a_set", "b_set").mapInArrow(_verify, "a long, b long")
+class _Texts:
+    """The texts of several trees, and the pairs that may link two groups."""
 
+    def __init__(self, table):
+        table, self.shard, own = _shards(table, ["shard", "tree"])
+        self.table, self.own = table, np.flatnonzero(own)
+        get = lambda c: table.column(c).to_numpy()
+        self.node, self.root, self.size, self.path = get("node"), get("root"), get("size"), get("path")
+        self.values = np.stack([get("fp").view(np.uint64), get("fp2").view(np.uint64)], axis=1)
+        keys = table.column("keys").combine_chunks()
+        self.keys = keys.flatten().to_numpy().reshape(-1, KEYS)
+        # texts of one fingerprint are one place in the tree
+        places, at = np.unique(np.column_stack([self.shard[self.own].astype(np.uint64), self.values[self.own]]), axis=0, return_inverse=True)
+        self.order, at = self.own[np.argsort(at, kind="stable")], np.sort(at)
+        self.held = np.searchsorted(at, np.arange(len(places) + 1))
+        self.forest = Forest(places[:, 1:], places[:, 0].astype(np.int64))
+
+    def pairs(self):
+        """Arrays of rows (one, other) in different groups whose first common minima are the shard's."""
+        bit = np.int64(1) << np.arange(KEYS)
+        for q, v in self.forest.near(self.values, self.shard, WIDE, 128):
+            m = self.held[v + 1] - self.held[v]
+            q = np.repeat(q, m)
+            v = self.order[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(self.held[v], m)]
+            good = (self.root[q] != self.root[v]) & (np.minimum(self.size[q], self.size[v]) >= SIMILAR * np.maximum(self.size[q], self.size[v]))
+            q, v = q[good], v[good]
+            path = self.path[q]
+            upto = (np.int64(1) << np.frexp(path.astype(float))[1].astype(np.int64)) - 1
+            first = ((self.keys[q] == self.keys[v]) @ bit & upto) == path
+            yield q[first], v[first]
+
+
+def _with_neighbours(batches):
+    """The rows that are in a pair, from rows sorted by (shard, tree, guest)."""
+    for t in _runs(batches, ["shard", "tree"]):
+        texts = _Texts(t)
+        paired = np.zeros(texts.table.num_rows, bool)
+        for q, v in texts.pairs():
+            paired[q] = paired[v] = True
+        yield from texts.table.filter(paired).to_batches()
+
+
+def _verified(batches):
+    """Links of each text to the least of its group in the tree, from rows with their sets."""
+    import pyarrow as pa
 
-def _alike(a: str, b: str):
-    """Columns of two sketches may belong to similar texts, by sizes and fingerprints."""
-    x, y = (lambda c: F.col(f"{a}{c}")), (lambda c: F.col(f"{b}{c}"))
-    apart = F.bit_count(x("fp").bitwiseXOR(y("fp"))) + F.bit_count(x("fp2").bitwiseXOR(y("fp2")))
-    return (F.least(x("size"), y("size")) >= SIMILAR * F.greatest(x("size"), y("size"))) & (apart <= WIDE)
+    for t in _runs(batches, ["shard", "tree"]):
+        texts, up, a, z = _Texts(t), {}, [], []
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in texts.table.column("shingles")]
 
+        def root(x, up=up):
+            while (y := up.get(x, x)) != x:
+                up[x] = up.get(y, y)
+                x = y
+            return x
 
-def _across(batches):
-    """Pairs across groups within ``WIDE`` bits, from rows sorted by (shard, tree, guest)."""
-    import pyarrow as pa
+        for q, v in texts.pairs():
+            for i, j, x, y in zip(q.tolist(), v.tolist(), texts.root[q].tolist(), texts.root[v].tolist(), strict=True):
+                x, y = root(x), root(y)
+                if x != y and similar(sets[i], sets[j]):
+                    up[max(x, y)] = min(x, y)
+                    a.append(i)
+                    z.append(j)
+        yield pa.RecordBatch.from_arrays([pa.array(texts.node[np.array(x, np.int64)]) for x in (a, z)], ["a", "b"])
 
-    keys = ["shard", "tree"]
-    for t in _runs(batches, keys):
-        t, shard, own = _shards(t, keys)
-        own = np.flatnonzero(own)
-        get = lambda c: t.column(c).to_numpy()  # noqa: B023, E731
-        values = np.stack([get("fp").view(np.uint64), get("fp2").view(np.uint64)], axis=1)
-        # texts of one fingerprint are one place in the tree
-        places, at = np.unique(np.column_stack([shard[own].astype(np.uint64), values[own]]), axis=0, return_inverse=True)
-        order, at = np.argsort(at, kind="stable"), np.sort(at)
-        held = np.searchsorted(at, np.arange(len(places) + 1))
-        forest = Forest(places[:, 1:], places[:, 0].astype(np.int64))
-        node, root, size = get("node"), get("root"), get("size")
-        for q, v in forest.near(values, shard, WIDE):
-            m = held[v + 1] - held[v]
-            q = np.repeat(q, m)
-            v = own[order[np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(held[v], m)]]
-            good = (root[q] != root[v]) & (node[q] != node[v]) & (np.minimum(size[q], size[v]) >= SIMILAR * np.maximum(size[q], size[v]))
-            low, high = np.minimum(node[q], node[v])[good], np.maximum(node[q], node[v])[good]
-            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
+_ROW = "shard long, tree int, guest boolean, node long, root long, fp long, fp2 long, size long, keys array<long>, path long"
 
-def _mixed(rows: DataFrame) -> DataFrame:
-    """(shard, n): shards with members of different groups."""
-    return sh.cut(rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard", "n"))
+
+def _searched(texts: DataFrame, own: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b): verified links across groups among the trees of ``rows``. own: the (node, id) that stands for each node."""
+    columns = [c.split()[0] for c in _ROW.split(", ")]
+    trees = lambda d: d.repartition("shard", "tree").sortWithinPartitions("shard", "tree", "guest")
+    near = sh.cut(trees(rows.select(*columns)).mapInArrow(_with_neighbours, _ROW))
+    wanted = _few(own.join(near.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("own"), F.col("id").alias("own_id")))
+    # by id too, so that the copies of one text are not dealt to one task
+    bodies = texts.join(wanted, (F.col("node") == F.col("own")) & F.col("id").eqNullSafe(F.col("own_id")), "left_semi")
+    sets = bodies.mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"])
+    return trees(near.join(sets, "node")).mapInArrow(_verified, "a long, b long")
 
 
-def _by_group(small: DataFrame, roots: DataFrame) -> DataFrame:
+def _keyed(small: DataFrame, roots: DataFrame | None) -> DataFrame:
     """A row for each node and minimum hash, with the node's group."""
-    base = small.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "fp", "fp2", "size", "keys")
-    return base.select("*", F.posexplode("keys").alias("choice", "key")).withColumn("shard", F.xxhash64("choice", "key"))
+    group = small.withColumn("root", F.col("node")) if roots is None else small.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    out = group.select("node", "root", "fp", "fp2", "size", "keys", F.posexplode("keys").alias("choice", "key"))
+    return out.withColumn("shard", F.xxhash64("choice", "key")).withColumn("path", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("choice")))
 
 
-def _searched(rows: DataFrame) -> DataFrame:
-    """rows: shard, tree, guest and what a tree needs."""
-    own = rows.select("shard", "tree", "guest", "node", "root", "fp", "fp2", "size")
-    return own.repartition("shard", "tree").sortWithinPartitions("shard", "tree", "guest").mapInArrow(_across, "a long, b long")
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(shard, n): shards with members of different groups."""
+    return sh.cut(rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard", "n"))
 
 
-def pairs_in_blocks(small: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b): as pairs_across, among the members of a shard that fall in one of its blocks of about ``block``."""
-    rows = _by_group(small, roots).where(F.col("choice") < BLOCK_KEYS).drop("keys")
-    rows = rows.join(_mixed(rows), "shard").withColumn("tree", F.pmod(F.xxhash64("node", "choice"), F.ceil(F.col("n") / F.lit(block))).cast("int"))
-    return _searched(rows.withColumn("guest", F.lit(False))).distinct()
+def first_rows(small: DataFrame, shard: int) -> DataFrame:
+    """Shards of the first minima, cut into trees without guests."""
+    rows = _keyed(small, None).where(F.col("choice") < FIRST)
+    tree = F.pmod(F.xxhash64("node", "choice"), F.ceil(F.col("n") / F.lit(shard))).cast("int")
+    return rows.join(_mixed(rows), "shard").withColumns({"tree": tree, "guest": F.lit(False)})
 
 
-def pairs_across(small: DataFrame, roots: DataFrame, shard: int = SHARD, levels: int = LEVELS) -> DataFrame:
-    """(a, b): nodes that share a minimum hash, may be similar and are not in one group yet."""
-    rows, out = _by_group(small, roots), []
+def rest_rows(small: DataFrame, roots: DataFrame, shard: int, levels: int = LEVELS) -> DataFrame:
+    """Trees of all shards whose members are in different groups."""
+    rows, out = _keyed(small, roots), []
     for level in range(levels):
         full = _mixed(rows)
         over = full.where(F.col("n") > shard)
-        last = level == levels - 1 or over.isEmpty()
-        trees = F.ceil(F.col("n") / F.lit(shard)).cast("int")
-        here = rows.drop("keys").join(full if last else full.where(F.col("n") <= shard), "shard").withColumn("home", F.pmod(F.xxhash64("node"), trees).cast("int"))
-        out.append(_searched(here.select("*", F.explode(F.sequence("home", trees - 1)).alias("tree")).withColumn("guest", F.col("tree") > F.col("home"))))
-        if last:
+        out.append(rows.join(full.where(F.col("n") <= shard), "shard").withColumns({"tree": F.lit(0), "guest": F.lit(False)}))
+        if over.isEmpty():
             break
-        # pairs that share more minima meet in the shard of the first two, if that of the first is hot
-        more = rows.join(over.select("shard"), "shard", "left_semi").select("node", "root", "fp", "fp2", "size", "keys", F.col("choice").alias("was"), F.col("shard").alias("old"), F.posexplode("keys").alias("choice", "key"))
-        rows = more.where("choice > was").withColumn("shard", F.xxhash64("old", "choice", "key")).drop("was", "old")
-    found = out[0]
+        hot = rows.join(over, "shard")
+        if level == levels - 1:
+            main = hot.groupBy("shard", "root").agg(F.count("*").alias("m")).groupBy("shard").agg(F.max_by("root", "m").alias("main"))
+            n = F.ceil(F.col("n") / F.lit(shard)).cast("int")
+            hot = hot.join(main, "shard").withColumn("home", F.pmod(F.xxhash64("node"), n).cast("int"))
+            tree = F.explode(F.when(F.col("root") == F.col("main"), F.array("home")).otherwise(F.sequence(F.lit(0), n - 1))).alias("tree")
+            out.append(hot.select("*", tree).withColumn("guest", F.col("tree") != F.col("home")))
+            break
+        # a pair that shares more minima meets in the shard of the first ones
+        again = F.posexplode("keys").alias("choice", "key")
+        rows = hot.select("node", "root", "fp", "fp2", "size", "keys", F.col("choice").alias("was"), F.col("shard").alias("old"), F.col("path").alias("before"), again).where("choice > was")
+        path = F.col("before") + F.call_function("shiftleft", F.lit(1).cast("long"), F.col("choice"))
+        rows = rows.withColumns({"shard": F.xxhash64("old", "choice", "key"), "path": path}).drop("was", "old", "before")
+    columns = [c.split()[0] for c in _ROW.split(", ")]
+    found = out[0].select(*columns)
     for more in out[1:]:
-        found = found.unionByName(more)
-    return found.distinct()
-
-
-def pairs_with_leaders(small: DataFrame) -> DataFrame:
-    """(a, b): each node with the leader of each of its shards."""
-    keyed = small.select(F.posexplode("keys").alias("choice", "key"), *(F.col(c).alias(f"a_{c}") for c in ("node", "fp", "fp2", "size")))
-    leader = F.min(F.struct(F.xxhash64("a_node", F.col("choice") % 2), *(F.col(f"a_{c}").alias(c) for c in ("node", "fp", "fp2", "size"))))
-    led = keyed.groupBy("choice", "key").agg(F.count("*").alias("n"), leader.alias("b")).where("n > 1")
-    led = led.select("choice", "key", *(F.col(f"b.{c}").alias(f"b_{c}") for c in ("node", "fp", "fp2", "size")))
-    return keyed.join(led, ["choice", "key"]).where((F.col("a_node") != F.col("b_node")) & _alike("a_", "b_")).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+        found = found.unionByName(more.select(*columns))
+    return found
 
 
-def similar_groups(texts: DataFrame, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def similar_groups(texts: DataFrame, shard: int = TREE) -> DataFrame:
     """(node, root) of the nodes of (node, id, body) that have a similar one; root is the least of the group."""
-    small = sh.cut(texts.mapInArrow(_sketches, "node long, keys array<long>, fp long, fp2 long, size long").dropDuplicates(["node"]))
-    rows = sh.cut(texts.select("node", "id").groupBy("node").agg(F.min("id").alias("id")))
-    found = sh.cut(verified(texts, rows, pairs_with_leaders(small)))
-    for pairs in (lambda r: pairs_in_blocks(small, r, block), lambda r: pairs_across(small, r, shard)):
-        roots = components(found)
-        found = sh.cut(found.unionByName(verified(texts, rows, pairs(roots))))
-    return components(found)
+    small = sh.cut(texts.mapInArrow(_sketches, "node long, keys array<long>, fp long, fp2 long, size long").dropDuplicates(["node"]).where("size > 0"))
+    own = sh.cut(texts.select("node", "id").groupBy("node").agg(F.min("id").alias("id")))
+    found = sh.cut(_searched(texts, own, first_rows(small, shard)))
+    more = _searched(texts, own, rest_rows(small, components(found), shard))
+    return components(found.unionByName(more))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int = SHARD, block: int = BLOCK) -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int = TREE) -> DataFrame:
     """``df`` with one row of each group of near duplicates: that of the smallest id (nulls last).
 
     Rows equal in id and text are one document, of which any row stays.
@@ -508,7 +526,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: i
     name = sh.fresh("node", df.columns)
     node = F.xxhash64(F.when(body.rlike(r"[^\x20\x09-\x0D]"), body).otherwise(""))
     texts = df.select(node.alias("node"), F.col(id_col).cast("long").alias("id"), body.cast("binary").alias("body"))
-    roots = similar_groups(texts, shard, block)
+    roots = similar_groups(texts, shard)
     own = texts.groupBy("node", "id").agg(F.count("*").alias("n"))
     own = sh.cut(own.join(roots, "node", "left").select("node", "id", "n", F.coalesce("root", "node").alias("root")))
     best = own.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("best"))

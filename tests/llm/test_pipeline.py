@@ -1,7 +1,13 @@
+import hashlib
+import math
 import random
+import re
+from collections import Counter, defaultdict
 
 import corpus_pipeline
-from linkwerk.llm import quality_divergence, registry
+from linkwerk.llm import decontamination, quality_divergence, registry, secret_scan, simhash_dedup, source_mixing
+
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def _words(rng, n):
@@ -33,3 +39,167 @@ def test_stages_take_effect(spark, tmp_path):
 def test_registry():
     assert {q.split("_")[0] for q in registry.queries()} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
     assert set(registry.oracle_sql()) < set(registry.queries())
+
+
+def _quality(docs):
+    """The first stage, document by document."""
+    q = quality_divergence
+    kept_class = {"upper": "[A-Z]", "digit": "[0-9]", "stop": r"[.,;:!?'\"()-]", "symbol": r"[#*$%&|<>@\\^_=+/~{}\[\]]", "wide": r"[^\x00-\x7F]"}
+
+    def shares(t):
+        w = SPLIT.findall(t)
+        classes = [len(re.findall(kept_class[c], t)) for c in q.CLASSES]
+        in_words = sum(map(len, w))
+        chars = [*classes, len(t) - in_words, in_words - sum(classes)]
+        c = Counter(x.rstrip(".,;:!?").lower() for x in w)
+        words = [c[k] for k in q.WORDS]
+        words.append(len(w) - sum(words))
+        return [x / max(len(t), 1) for x in chars], [x / max(len(w), 1) for x in words], len(w)
+
+    def distance(p, r):
+        part = lambda a, m: a * math.log2(a / m) if a > 0 else 0.0
+        return math.sqrt(max(sum(part(a, (a + b) / 2) + part(b, (a + b) / 2) for a, b in zip(p, r, strict=True)) / 2, 0.0))
+
+    mean = lambda rows: [sum(x) / len(rows) for x in zip(*rows, strict=True)]
+    by = defaultdict(list)
+    for d in docs:
+        s = shares(d["text"] or "")
+        if s[2]:
+            by[d["lang"]].append(s)
+    refs = {k: (mean([s[0] for s in v]), mean([s[1] for s in v])) for k, v in by.items()}
+    out = []
+    for d in docs:
+        t = d["text"] or ""
+        p, w, n = shares(t)
+        own = [r for k, r in refs.items() if k in q.COMMON or k == d["lang"]]
+        dc, dw = (min((distance(x, r[k]) for r in own), default=0.0) for k, x in enumerate((p, w)))
+        words = SPLIT.findall(t)
+        c = Counter(zip(words, words[1:], words[2:], strict=False))
+        again = {j for i in range(n - 2) if c[words[i], words[i + 1], words[i + 2]] > 1 for j in (i, i + 1, i + 2)}
+        base = n < 50 or 100 * len(again) > 50 * n
+        if not (base or dw > 0.30 or (len(t) >= 200 and dc > 0.30) or (n >= 150 and dw > 0.25)):
+            out.append(d)
+    return out
+
+
+def _one_of_each(docs):
+    sets = [set(simhash_dedup.shingle_set((d["text"] or "").encode()).tolist()) for d in docs]
+    up = list(range(len(docs)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                up[b] = a
+    best = {}
+    for i, d in enumerate(docs):
+        best[find(i)] = min(best.get(find(i), d["doc_id"]), d["doc_id"])
+    return [d for i, d in enumerate(docs) if d["doc_id"] == best[find(i)]]
+
+
+def _without_items(docs, items):
+    def held(there, item):
+        parts = decontamination.question_and_answer(item)
+        whole, alone = decontamination.tokens(item), decontamination.tokens(decontamination.question(item))
+        enough = lambda p: len(p & there) >= 0.8 * len(p)
+        return all(map(enough, parts)) or enough(decontamination._shingles(whole)) or (len(alone) >= 10 and enough(decontamination._shingles(alone)))
+
+    out = []
+    for d in docs:
+        w = decontamination.tokens(d["text"] or "")
+        there = {b" ".join(w[k : k + m]) for m in range(1, 6) for k in range(len(w) - m + 1)}
+        if not any(held(there, t) for t in items):
+            out.append(d)
+    return out
+
+
+def _masked(docs):
+    assign = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
+    out = []
+    for d in docs:
+        t = d["text"]
+        found = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(t) if len(m[1]) >= 8]
+        found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        new, at = "", 0
+        for a, _, z, kind in sorted(found):
+            if a >= at:
+                new += t[at:a] + f"[{kind}]"
+            at = max(at, z)
+        new += t[at:]
+        out.append({**d, "text": new, "n_chars": len(new) if len(new) != len(t) else d["n_chars"]})
+    return out
+
+
+def _mixed(docs):
+    size = lambda d: len(SPLIT.findall(d["text"]))
+    sizes = Counter()
+    for d in docs:
+        sizes[d["source"]] += size(d)
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sorted(sizes))}
+    free, target, rest = set(sizes), {}, 1.5 * sum(sizes.values())
+    while free:
+        level = rest / sum(weight[s] for s in free)
+        over = {s for s in free if level * weight[s] > 2 * sizes[s]}
+        if not over:
+            break
+        target |= {s: 2 * sizes[s] for s in over}
+        rest -= sum(target[s] for s in over)
+        free -= over
+    target |= {s: level * weight[s] for s in free}
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    out = []
+    for d in docs:
+        rate = target[d["source"]] / sizes[d["source"]]
+        u = int(md5(f"{source_mixing.SEED}|{d['doc_id']}|{md5(d['text'])}")[:8], 16) / 2**32
+        out += [{**d, "copy": k + 1} for k in range(int(rate) + (u < rate - int(rate)))]
+    return out
+
+
+def test_run_against_a_plain_version(spark, tmp_path):
+    rng = random.Random(41)
+    items = [_words(rng, 25) + "? " + _words(rng, 8) + "." for _ in range(4)]
+    texts = [_words(rng, rng.randrange(40, 260)) for _ in range(60)]
+    texts += [texts[k] + " more" for k in range(6)] + [texts[7], texts[8]]  # copies and near copies
+    texts += [texts[20 + k] + " " + item + " " + _words(rng, 30) for k, item in enumerate(items)]
+    texts += [_words(rng, 90) + " " + " ".join(items[0].split()[:25]), _words(rng, 90) + " AKIA" + "Q7" * 10 + " password: 'abcdefgh1' " + "0af3" * 9 + " token=" + "f" * 40]
+    texts += [" | ".join(_words(rng, 60).split()), "*** %%% " * 60, "the same line again\n" * 30, _words(rng, 100).upper(), "", None]
+    rows = [(k, t, ("en", "en", "xx")[k % 3], f"s{k % 4}", len(t or "")) for k, t in enumerate(texts)]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = [dict(zip(columns, r, strict=True)) for r in rows]
+    sizes = [len(docs)]
+    for plain in (_quality, _one_of_each, lambda d: _without_items(d, items), _masked):
+        docs = plain(docs)
+        sizes.append(len(docs))
+    want = _mixed(docs)
+    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > 40 and any("[assign]" in d["text"] for d in docs)
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == [*columns, "copy"]
+    key = lambda d: (d["doc_id"], d["copy"])
+    assert sorted((r.asDict() for r in got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_stages_keep_clashing_columns_and_repeated_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(42)
+    texts = [_words(rng, 120) for _ in range(4)]
+    df = spark.createDataFrame([(1, texts[0]), (1, texts[0]), (None, texts[1]), (3, texts[2]), (4, None), (5, " ".join(texts) * 40)], "doc_id long, text string")
+    odd = ["body", "items", "more_items", "copy", "mix", "of", "which", "node", "length", "ref", "label", "own"]
+    df = df.withColumns({"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.length("text"), **{c: F.lit(c) for c in odd}})
+    spark.createDataFrame([(1, "no such item is anywhere. none.")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    counts = []
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns == (df.columns if name != "mixing" else [*df.columns, "_copy"])
+        assert all(r[c] == c for r in out.collect() for c in odd)
+        counts.append(out.count())
+    # the null and the very repetitive text are poor; the two equal rows are one document; one source is taken 1.5 times
+    assert counts[:4] == [4, 5, 6, 6] and 6 <= counts[4] <= 12
