@@ -614,3 +614,28 @@ def test_ranks_against_plain_iteration(spark):
             rank = new
         for h in hosts:
             assert abs(got.get(h, (0, 0))[kind] - rank.get(h, 0)) < 1e-5
+
+
+def test_secrets_and_pages_on_odd_input(spark):
+    empty = frame(spark, []).limit(0)
+    assert secret_scan.scan(empty).count() == 0 and secret_scan.mask(empty).count() == 0
+    long = "x " * 300_000
+    rows = ["token=abcdefgh1", "token=abcdefgh1", long + "password=abcdefgh2 " + long, None]
+    out = secret_scan.scan(frame(spark, rows, ids=[1, 1, 2, None])).collect()
+    assert sorted((r.doc_id or 0, r.spans) for r in out) == [(0, ""), (1, "assign:0:15"), (1, "assign:0:15"), (2, "assign:600000:600018")]
+    html = "<p>" * 200_000 + '<a href="http://bad.com/x">'
+    pages = [(1, "http://bad.com/de/", None), (2, "http://far.net/" + "p" * 100_000, html), (2, "http://far.net/" + "p" * 100_000, html)]
+    verdicts = [(r.page_id, r.verdict) for r in url_trust.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()]
+    assert sorted(verdicts) == [(1, "block"), (2, "block"), (2, "block")]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(51)
+    long = prose(rng, 150_000, 10**6)
+    rows = [long, long + " more", "under the MIT license " + long + " cc by nc", prose(rng, 20, 10**6)]
+    df = frame(spark, rows)
+    found = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in license_scan.scan(df).collect()}
+    assert found == {0: (150_000, 0, None, None, ""), 1: (150_001, 0, None, None, ""), 2: (150_007, 2, 0, 150_004, "cc-by-nc,mit"), 3: (20, 0, None, None, "")}
+    assert sorted(r.doc_id for r in simhash_dedup.keep_one(df.unionByName(df)).collect()) == [0, 3]
+    assert sorted(r.doc_id for r in quality_divergence.keep(df).collect()) == [0, 1, 2]
+    assert {r.n_repeat_words for r in quality_divergence.judge(df).collect()} == {0}
