@@ -108,9 +108,7 @@ def _counter(n_buckets: int):
 
     def count(batches):
         hashes, counts, held = [], [], 0
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (x for whole in batches for x in sh.slices(whole, "body")):
             h, c = np.unique(_batch_tokens(b)[0], return_counts=True)
             hashes.append(h)
             counts.append(c)
@@ -169,9 +167,7 @@ def _bigrams(elements: Elements):
         import pyarrow as pa
 
         n, total = elements.n, None
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (x for whole in batches for x in sh.slices(whole, "body")):
             e = elements.of(_batch_tokens(b)[0])
             before = np.r_[n - 1, e[:-1]]  # each document begins after an end
             own = np.bincount(before * n + e, minlength=n * n)
@@ -289,9 +285,7 @@ def _neighbours(seed: Seed, n_buckets: int):
 
     def run(batches):
         hashes, slots, held = [], [], 0
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (x for whole in batches for x in sh.slices(whole, "body")):
             h = _batch_tokens(b)[0]
             e = elements.of(h)
             c = seed.classes[e]

@@ -229,7 +229,7 @@ def _finder(handle, at_text: int):
         import pyarrow as pa
 
         index = handle.value
-        for b in batches:
+        for b in (x for whole in batches for x in sh.slices(whole, at_text)):
             found: list[list[int]] = [[] for _ in range(b.num_rows)]
             body = b.column(at_text).cast(pa.binary()).fill_null(b"")
             data, offsets = sh.bodies(pa.table({"body": body}))

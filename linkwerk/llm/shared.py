@@ -28,6 +28,8 @@ PART_BYTES = 4_000_000
 BUCKET_HASHES = 2_000_000
 #: Equal rows up to which they are dealt one by one.
 EQUAL = 256
+#: Bytes of text that a worker looks at at once, about, where rows are independent.
+SLICE = 4_000_000
 #: Words are separated by these six bytes, in every operator that splits words.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -133,6 +135,20 @@ def bodies(table) -> tuple[np.ndarray, np.ndarray]:
     return every, at - at[0]
 
 
+def slices(batch, column: int | str):
+    """The rows of an Arrow batch a few at a time, so that ``column`` has ``SLICE`` bytes at most, or one row."""
+    import pyarrow.compute as pc
+
+    give_back()
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(size, before + SLICE, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def merge_counts(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Distinct hashes of all requests, their total counts, and for each request its totals in its own order."""
     every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
