@@ -13,7 +13,8 @@ the transform, all intervals of a level at once.
 hash in each window of the minimum length anchors it; equal windows have equal
 anchors. Windows whose anchor occurs once are dropped by a hash exchange, and
 again with longer grams, so that common strings much shorter than the minimum
-drop out; stretches of windows with the same (short) anchor go, with the bytes they cover, to the bucket of
+drop out (what the first exchange leaves of a part is kept, so only that is
+looked at again); stretches of windows with the same (short) anchor go, with the bytes they cover, to the bucket of
 that anchor. Equal stretches, by a digest of 128 bits, are merged with a count
 of one or many before they are sent and again where they meet, so an anchor's
 copies reach a bucket once per part at most. Where all kinds of an anchor's
@@ -148,48 +149,83 @@ def repeated_starts(texts: list[bytes], weights: np.ndarray, length: int = LENGT
     return [np.flatnonzero(again[at[k] : at[k] + size[k]]) for k in range(len(texts))]
 
 
-class _Part:
-    """A part's bytes, its anchors, and the stretches that share a repeated one."""
-
-    def __init__(self, table, length: int, grams: tuple[int, ...], n_buckets: int):
-        self.data, self.offsets = sh.bodies(table)
-        self.length, self.grams, self.n_buckets = length, grams, n_buckets
-        self.wanted = bh.within(self.offsets, length, len(self.data))
-        self.least = None
-
-    def ask(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchors of the wanted windows, whether each occurs twice here, and each window's anchor."""
-        grams = bh.windows(self.data, self.grams[level])
-        least, chosen = bh.anchors(grams, self.grams[level], self.length, self.wanted)
-        return *bh.distinct(bh.mix(grams[chosen])), least
-
-    def narrow(self, levels: int, replies) -> _Part:
-        """Leaves windows whose anchors of the first levels occur twice in the corpus."""
-        for level in range(levels):
-            sent, _, least = self.ask(level)
-            again = sent[sh.bits_of(replies, level, sent, self.n_buckets)]
-            at = np.minimum(np.searchsorted(again, least), max(len(again) - 1, 0))
-            self.wanted &= again[at] == least if len(again) else False
-            self.least = least if level == 0 else self.least
-        return self
-
-    def stretches(self) -> dict[str, np.ndarray]:
-        """Runs of wanted windows with the same first anchor: keys, starts, stops (ends of their bytes), sums; sorted, equal ones together."""
-        none = {k: np.zeros(0, t) for k, t in (("keys", np.uint64), ("starts", np.int64), ("stops", np.int64))} | {"sums": np.zeros((0, 2), np.uint64)}
-        on = self.wanted
-        if not on.any():
-            return none
-        doc = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))[: len(on)]
-        fresh = on.copy()
-        fresh[1:] &= ~on[:-1] | (self.least[1:] != self.least[:-1]) | (doc[1:] != doc[:-1])
-        close = on.copy()
-        close[:-1] &= ~on[1:] | fresh[1:]
-        starts, stops = np.flatnonzero(fresh), np.flatnonzero(close) + self.length
-        keys, text = self.least[starts], self.data.tobytes()
+def _anchored(data: np.ndarray, gram: int, length: int, wanted: np.ndarray):
+    """Distinct anchors of the wanted windows, whether each occurs twice here, and each window's anchor."""
+    grams = bh.windows(data, gram)
+    least, chosen = bh.anchors(grams, gram, length, wanted)
+    return *bh.distinct(bh.mix(grams[chosen])), least
+
+
+def _among(least: np.ndarray, again: np.ndarray) -> np.ndarray:
+    """Which anchors are in the sorted ``again``."""
+    if not len(again):
+        return np.zeros(len(least), bool)
+    return again[np.minimum(np.searchsorted(again, least), len(again) - 1)] == least
+
+
+def _edges(on: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last places of the runs of ``on``; a run also begins where ``fresh``."""
+    if not on.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begin, close = on.copy(), on.copy()
+    begin[1:] &= ~on[:-1] | fresh[1:]
+    close[:-1] &= ~on[1:] | fresh[1:]
+    return np.flatnonzero(begin), np.flatnonzero(close)
+
+
+class _Spans:
+    """The stretches of a part that windows with a repeated first anchor cover, one after the other.
+
+    starts, stops: where each lies in the part; at, keys: from which window on
+    the first anchor is which.
+    """
+
+    NAMES = ("starts", "stops", "at", "keys")
+
+    def __init__(self, data: np.ndarray, starts, stops, at, keys):
+        self.starts, self.stops, self.at, self.keys = starts, stops, at, keys
+        self.offsets = np.r_[0, np.cumsum(stops - starts)].astype(np.int64)
+        self.data = np.concatenate([data[a:z] for a, z in zip(starts, stops, strict=True)]) if len(starts) else data[:0]
+
+    @classmethod
+    def after(cls, data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray, least: np.ndarray, length: int) -> _Spans:
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(wanted)]
+        fresh = np.r_[False, doc[1:] != doc[:-1]] if len(doc) else np.zeros(0, bool)
+        first, last = _edges(wanted, fresh)
+        own = cls(data, first, last + length, np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        # anchors of all windows of a span, one for each byte but those where none begins
+        place = np.concatenate([np.arange(a, z + 1) for a, z in zip(first, last, strict=True)]) if len(first) else first
+        here = np.flatnonzero(bh.within(own.offsets, length, len(own.data)))
+        keys = least[place]
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        own.at, own.keys = here[new], keys[new]
+        return own
+
+    def packed(self) -> list[bytes]:
+        return [getattr(self, k).tobytes() for k in self.NAMES]
+
+    def wanted(self, length: int) -> np.ndarray:
+        return bh.within(self.offsets, length, len(self.data))
+
+    def stretches(self, on: np.ndarray, length: int) -> dict[str, np.ndarray]:
+        """Runs of the windows ``on`` with the same first anchor: keys, starts and stops of their bytes in data, sums; sorted, equal ones together."""
+        n = len(on)
+        fresh = np.zeros(n, bool)
+        fresh[self.at[self.at < n]] = True
+        inner = self.offsets[1:-1]
+        fresh[inner[inner < n]] = True
+        starts, last = _edges(on, fresh)
+        stops, text = last + length, self.data.tobytes()
+        keys = self.keys[np.searchsorted(self.at, starts, "right") - 1] if len(starts) else np.zeros(0, np.uint64)
         sums = np.frombuffer(b"".join(hashlib.blake2b(text[a:z], digest_size=16).digest() for a, z in zip(starts.tolist(), stops.tolist(), strict=True)), np.uint64).reshape(-1, 2)
         by = np.lexsort((starts, stops - starts, sums[:, 1], sums[:, 0], keys))
         return {"keys": keys[by], "starts": starts[by], "stops": stops[by], "sums": sums[by]}
 
+    def in_part(self, places: np.ndarray) -> np.ndarray:
+        """Places in data as places in the part."""
+        span = np.searchsorted(self.offsets, places, "right") - 1
+        return places - self.offsets[span] + self.starts[span]
+
 
 def _kinds(s: dict[str, np.ndarray]) -> np.ndarray:
     """Where a new kind of stretch begins in the sorted stretches."""
@@ -202,37 +238,69 @@ def _new_kind(keys: np.ndarray, sums: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return np.r_[True, (np.diff(keys) != 0) | (np.diff(sums, axis=0) != 0).any(axis=1) | (np.diff(sizes) != 0)]
 
 
-def _asker(level: int, length: int, grams: tuple[int, ...], n_buckets: int):
-    def ask(docs, replies=None):
+def _asker(length: int, gram: int, n_buckets: int):
+    """The first anchors of all windows."""
+
+    def ask(docs):
+        data, offsets = sh.bodies(sh.documents(docs)[0])
+        sent, often, _ = _anchored(data, gram, length, bh.within(offsets, length, len(data)))
+        return sh.requests(docs.column("part")[0].as_py(), 0, sent, often, n_buckets)
+
+    return ask
+
+
+def _narrower(length: int, grams: tuple[int, int], n_buckets: int):
+    """The second anchors of windows whose first one repeats; and, in a row of bucket -1, the part's spans of them."""
+
+    def ask(docs, replies):
+        import pyarrow as pa
+
         if not docs.num_rows:
-            return sh.requests(0, level, np.zeros(0, np.uint64), np.zeros(0, bool), n_buckets)
-        part = _Part(sh.documents(docs)[0], length, grams, n_buckets).narrow(level, replies)
-        sent, often, _ = part.ask(level)
-        return sh.requests(docs.column("part")[0].as_py(), level, sent, often, n_buckets)
+            return pa.Table.from_pylist([], schema=pa.schema([*sh.requests(0, 1, np.zeros(0, np.uint64), np.zeros(0, bool), n_buckets).schema, *(pa.field(k, pa.binary()) for k in _Spans.NAMES)]))
+        data, offsets = sh.bodies(sh.documents(docs)[0])
+        wanted = bh.within(offsets, length, len(data))
+        sent, _, least = _anchored(data, grams[0], length, wanted)
+        wanted &= _among(least, sent[sh.bits_of(replies, 0, sent, n_buckets)])
+        spans = _Spans.after(data, offsets, wanted, least, length)
+        sent, often, _ = _anchored(spans.data, grams[1], length, spans.wanted(length))
+        part = docs.column("part")[0].as_py()
+        asked = sh.requests(part, 1, sent, often, n_buckets)
+        for k in _Spans.NAMES:
+            asked = asked.append_column(k, pa.nulls(asked.num_rows, pa.binary()))
+        own = pa.Table.from_pylist([dict(bucket=-1, part=part, level=1, hashes=None, often=None, **dict(zip(_Spans.NAMES, spans.packed(), strict=True)))], schema=asked.schema)
+        return pa.concat_tables([asked, own])
 
-    return (lambda docs: ask(docs)) if level == 0 else (lambda docs, replies: ask(docs, replies))
+    return ask
 
 
-def _sender(length: int, grams: tuple[int, ...], n_buckets: int, n_piles: int):
+def _sender(length: int, gram: int, n_buckets: int, n_piles: int):
     def send(docs, replies):
         import pyarrow as pa
+        import pyarrow.compute  # noqa: F401
 
         names = ["bucket", "part", "keys", "sums", "sizes", "places", "often", "body"]
         kinds_ = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
         if not docs.num_rows:
             return pa.table({n: pa.array([], t) for n, t in zip(names, kinds_, strict=True)})
-        part = _Part(sh.documents(docs)[0], length, grams, n_buckets).narrow(len(grams), replies)
-        s = part.stretches()
+        data, _ = sh.bodies(sh.documents(docs)[0])
+        own = replies.filter(pa.compute.equal(replies.column("bucket"), -1)).to_pylist()[0]
+        spans = _Spans(data, *(np.frombuffer(own[k], np.uint64 if k == "keys" else np.int64) for k in _Spans.NAMES))
+        wanted = spans.wanted(length)
+        sent, _, least = _anchored(spans.data, gram, length, wanted)
+        wanted &= _among(least, sent[sh.bits_of(replies.filter(pa.compute.greater_equal(replies.column("bucket"), 0)), 1, sent, n_buckets)])
+        s = spans.stretches(wanted, length)
         first = _kinds(s)
         many = np.diff(np.r_[first, len(s["keys"])]) > 1
         keys, starts, stops, sums = (s[k][first] for k in ("keys", "starts", "stops", "sums"))
+        part = docs.column("part")[0].as_py()
         # the part's own stretches go back to it, as a row without a pile
-        edges, rows = sh.buckets_of(keys, n_piles), [(-1, docs.column("part")[0].as_py(), first.tobytes(), b"", s["stops"].tobytes(), s["starts"].tobytes(), b"", b"")]
+        rows = [(-1, part, first.tobytes(), b"", b"", spans.in_part(s["starts"]).tobytes(), b"", b"")]
+        edges = sh.buckets_of(keys, n_piles)
         for b in np.flatnonzero(np.diff(edges)):
             a, z = edges[b], edges[b + 1]
-            body = b"".join(part.data[x:y].tobytes() for x, y in zip(starts[a:z], stops[a:z], strict=True))
-            rows.append((int(b), docs.column("part")[0].as_py(), keys[a:z].tobytes(), sums[a:z].tobytes(), (stops - starts)[a:z].tobytes(), np.arange(a, z).tobytes(), np.packbits(many[a:z]).tobytes(), body))
-        return pa.table({n: pa.array(c, t) for n, t, c in zip(names, kinds_, zip(*rows, strict=True) if rows else [[]] * 8, strict=True)})
+            body = b"".join(spans.data[x:y].tobytes() for x, y in zip(starts[a:z], stops[a:z], strict=True))
+            rows.append((int(b), part, keys[a:z].tobytes(), sums[a:z].tobytes(), (stops - starts)[a:z].tobytes(), np.arange(a, z).tobytes(), np.packbits(many[a:z]).tobytes(), body))
+        return pa.table({n: pa.array(c, t) for n, t, c in zip(names, kinds_, zip(*rows, strict=True), strict=True)})
 
     return send
 
@@ -355,7 +423,7 @@ def _heap_finder(length: int, key: int, n_buckets: int):
 
 
 def _finisher(length: int, with_text: bool):
-    """replies: the part's own stretches (in columns first, start and stop) and the runs of RUNS (first: null)."""
+    """replies: the part's own stretches (in columns first and start) and the runs of RUNS (first: null)."""
 
     def finish(docs, replies):
         import pyarrow as pa
@@ -365,7 +433,7 @@ def _finisher(length: int, with_text: bool):
         mine, place, start, stop = [], [], [], []
         for first, *rest in zip(*(replies.column(c).to_pylist() for c in ("first", "place", "start", "stop")), strict=True):
             if first is not None:
-                mine = [np.frombuffer(x, np.int64) for x in (first, *rest[1:])]
+                mine = [np.frombuffer(x, np.int64) for x in (first, rest[1])]
             else:
                 for into, x in zip((place, start, stop), rest, strict=True):
                     into.append(np.frombuffer(x, np.int64))
@@ -396,18 +464,18 @@ def _finisher(length: int, with_text: bool):
     return finish
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, grams: tuple[int, ...] = GRAMS, part_bytes: int = sh.PART_BYTES // 2, with_text: bool = True, pile: int = PILE) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH, grams: tuple[int, int] = GRAMS, part_bytes: int = sh.PART_BYTES // 2, with_text: bool = True, pile: int = PILE) -> DataFrame:
     """Per document the counts and digest of RESULT: bytes outside every string of ``length`` that starts twice."""
     n_bytes, equal = sh.text_bytes(df, id_col, text)
     n_buckets = sh.bucket_count(n_bytes / 100)
     n_piles, key = sh.part_count(2 * n_bytes, sh.PART_BYTES), int.from_bytes(os.urandom(7))
     parts = sh.in_parts(df, id_col, text, sh.part_count(n_bytes, part_bytes), equal).groupBy("part")
-    told: DataFrame | None = None
-    for level in range(len(grams)):
-        ask = _asker(level, length, grams, n_buckets)
-        asked = parts.applyInArrow(ask, sh.REQUEST) if told is None else parts.cogroup(told.groupBy("part")).applyInArrow(ask, sh.REQUEST)
-        told = sh.answers(asked) if told is None else told.unionByName(sh.answers(asked))
-    pieces = sh.cut(parts.cogroup(told.groupBy("part")).applyInArrow(_sender(length, grams, n_buckets, n_piles), PIECES))
+    told = sh.answers(parts.applyInArrow(_asker(length, grams[0], n_buckets), sh.REQUEST))
+    asked = sh.cut(parts.cogroup(told.groupBy("part")).applyInArrow(_narrower(length, grams, n_buckets), f"{sh.REQUEST}, {', '.join(f'{k} binary' for k in _Spans.NAMES)}"))
+    none = F.lit(None).cast("binary")
+    again = sh.answers(asked.where("bucket >= 0").select("bucket", "part", "level", "hashes", "often"))
+    again = again.select("*", *(none.alias(k) for k in _Spans.NAMES)).unionByName(asked.where("bucket = -1").select("part", "level", "bucket", none.alias("bits"), *_Spans.NAMES))
+    pieces = sh.cut(parts.cogroup(again.groupBy("part")).applyInArrow(_sender(length, grams[1], n_buckets, n_piles), PIECES))
     sent = pieces.where("bucket >= 0")
     large = sh.cut(sent.groupBy("bucket").agg(F.sum(F.octet_length("body")).alias("size")).where(F.col("size") > pile).select("bucket"))
     runs = sent.join(large, "bucket", "left_anti").repartition(n_piles, "bucket").groupBy("bucket").applyInArrow(_pile(length), RUNS)
@@ -420,8 +488,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
         back = sh.answers(asked).withColumnRenamed("bucket", "of").withColumn("pile", F.floor(F.col("level") / 2).cast("int"))
         found = heaps.withColumn("pile", F.col("bucket")).groupBy("part", "pile").cogroup(back.withColumnRenamed("of", "bucket").groupBy("part", "pile"))
         runs = runs.unionByName(found.applyInArrow(_heap_finder(length, key, n_heaps), RUNS))
-    mine = pieces.where("bucket = -1").select("part", F.col("keys").alias("first"), F.lit(None).cast("binary").alias("place"), F.col("places").alias("start"), F.col("sizes").alias("stop"))
-    replies = mine.unionByName(runs.withColumn("first", F.lit(None).cast("binary")))
+    mine = pieces.where("bucket = -1").select("part", F.col("keys").alias("first"), none.alias("place"), F.col("places").alias("start"), none.alias("stop"))
+    replies = mine.unionByName(runs.withColumn("first", none))
     return sh.each_copy(parts.cogroup(replies.groupBy("part")).applyInArrow(_finisher(length, with_text), RESULT), equal)
 
 
