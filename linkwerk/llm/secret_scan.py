@@ -22,6 +22,8 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import give_back
+
 KINDS = ["assign", "access", "hex"]
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -98,6 +100,7 @@ def _scan(batches):
 
     keywords = automaton()
     for b in batches:
+        give_back()
         found = [find(x.as_py() or "", keywords) for x in b.column("text")]
         base = [[s for s in spans if s[2] in KINDS] for spans in found]
         count = lambda kind: pa.array([sum(s[2] == kind for s in spans) for spans in base], pa.int64())  # noqa: E731, B023
@@ -109,6 +112,7 @@ def _mask(batches):
 
     keywords = automaton()
     for b in batches:
+        give_back()
         at = b.schema.get_field_index("text")
         texts = [x.as_py() for x in b.column(at)]
         clean = [x and redact(x, find(x, keywords)) for x in texts]

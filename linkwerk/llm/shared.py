@@ -135,6 +135,16 @@ def bodies(table) -> tuple[np.ndarray, np.ndarray]:
     return every, at - at[0]
 
 
+def small_batches(spark) -> None:
+    """Arrow batches of 2,000 rows and 8 MB at most, in this session from now on.
+
+    Workers and the JVM each hold a batch of texts or of sets more than once;
+    the usual 10,000 rows have no bound in bytes.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def slices(batch, column: int | str):
     """The rows of an Arrow batch a few at a time, so that ``column`` has ``SLICE`` bytes at most, or one row."""
     import pyarrow.compute as pc

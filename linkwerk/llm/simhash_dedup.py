@@ -347,6 +347,7 @@ def _sketches(batches):
     import pyarrow as pa
 
     for b in batches:
+        sh.give_back()
         keys, prints, sizes = [], [], []
         for x in b.column("body"):
             own = shingle_set(x.as_py() or b"")
@@ -361,6 +362,7 @@ def _sets(batches):
     import pyarrow as pa
 
     for b in batches:
+        sh.give_back()
         yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([shingle_set(x.as_py() or b"").tobytes() for x in b.column("body")], pa.binary())], ["node", "shingles"])
 
 
@@ -414,6 +416,7 @@ class _Texts:
 def _with_neighbours(batches):
     """The rows that are in a pair, from rows sorted by (shard, tree, guest)."""
     for t in _runs(batches, ["shard", "tree"]):
+        sh.give_back()
         texts = _Texts(t)
         paired = np.zeros(texts.table.num_rows, bool)
         for q, v in texts.pairs():
@@ -426,6 +429,7 @@ def _verified(batches):
     import pyarrow as pa
 
     for t in _runs(batches, ["shard", "tree"]):
+        sh.give_back()
         texts, up, a, z = _Texts(t), {}, [], []
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in texts.table.column("shingles")]
 
