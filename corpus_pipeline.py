@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwerk.llm import decontamination, quality_divergence, secret_scan, simhash_dedup, source_mixing
+from linkwerk.llm.shared import small_batches
 from linkwerk.storage import fresh, remove, scratch
 
 
@@ -25,16 +26,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id; texts without words are one group."""
+    small_batches(spark)
     return simhash_dedup.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, near copy of one or question alone; an empty benchmark drops none."""
+    small_batches(spark)
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by their kind and n_chars counted anew where the length changed; null stays null."""
+    small_batches(spark)
     before = fresh("length", docs.columns)
     new = secret_scan.mask(docs.withColumn(before, F.length("text")))
     n_chars = F.when(F.length("text") != F.col(before), F.length("text")).otherwise(F.col("n_chars"))
