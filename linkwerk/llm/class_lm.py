@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import bytehash as bh
 from . import shared as sh
 
-FREQUENT = 2000
+FREQUENT = 1000
 CLASSES = 96
 SHAPES = 64
 SWEEPS = 20
