@@ -276,7 +276,7 @@ def _ctes() -> dict[str, str]:
         "rec": """SELECT doc_id * 2 + side AS row_id, CASE WHEN alt IN (1, 4) THEN f2 ELSE f1 END AS Vorname, CASE WHEN alt IN (1, 4) THEN f1 ELSE f2 END AS Name,
           CASE WHEN alt = 6 THEN '' WHEN kind = 6 THEN m WHEN n % 4 = 0 THEN m WHEN n % 4 = 1 THEN NULL ELSE '' END AS Name2,
           CASE WHEN alt NOT IN (8, 13) THEN lang || ['str.', 'strasse', 'straße'][(doc_id + side) % 3 + 1] END AS Strasse, CASE WHEN alt <> 10 THEN number END AS HausNummer,
-          CASE WHEN alt IN (9, 13) THEN NULL WHEN kind = 7 AND doc_id % 5 = 0 THEN '' ELSE (ascii(substr(lang, 2, 1)) * 10 + 1000 + length(source) * 1000 + coalesce(try_cast(number AS INT), 0) * 100 + n % 7)::VARCHAR END AS Plz, CASE WHEN alt <> 10 THEN lang END AS Ort,
+          CASE WHEN alt IN (9, 13) THEN NULL WHEN kind = 7 AND doc_id % 5 = 0 AND (side = 1 OR doc_id // 24 % 2 = 0) THEN '' ELSE (ascii(substr(lang, 2, 1)) * 10 + 1000 + length(source) * 1000 + coalesce(try_cast(number AS INT), 0) * 100 + n % 7)::VARCHAR END AS Plz, CASE WHEN alt <> 10 THEN lang END AS Ort,
           CASE WHEN side = 0 THEN CASE WHEN doc_id % 3 <> 0 THEN 'C' || doc_id END WHEN doc_id % 2 = 0 THEN 'K' || doc_id ELSE '' END AS Crefo,
           CASE WHEN kind = 12 OR alt = 11 THEN NULL WHEN alt = 14 THEN born || '-03-02' WHEN even THEN '01.01.' || born ELSE '' END AS Geburtstag,
           CASE WHEN kind = 12 THEN NULL WHEN alt = 11 THEN '0' WHEN alt = 14 OR even THEN '' ELSE born || '.0' END AS Jahrgang FROM alt""",

@@ -110,7 +110,8 @@ def from_documents(docs: DataFrame) -> DataFrame:
     language, source and the number of words modulo 7. Alterations (id modulo
     24): 1 names exchanged, 2 a letter of the last name, 3 the vowels of both
     names, 4 these exchanged as well, 5 year and birthday exchanged, 6 second
-    name joined by a hyphen, 7 (one in five) blank postal code on both, 8 no
+    name joined by a hyphen, 7 (one in five) blank postal code, every other
+    time on both, 8 no
     street, 9 no postal code, 10 no house number and place, 11 year 0, 12 no
     year on either, 13 no address, 14 another day, 15 vowels of the first name.
     """
@@ -132,7 +133,7 @@ def from_documents(docs: DataFrame) -> DataFrame:
         F.when(kind == 6, F.when(F.col("side") == 1, "").otherwise(F.col("m"))).when(F.col("n") % 4 == 0, F.col("m")).when(F.col("n") % 4 == 1, none).otherwise("").alias("Name2"),
         F.when(~is_(8, 13), F.concat(F.col("lang"), F.element_at(F.array(F.lit("str."), F.lit("strasse"), F.lit("straße")), ((F.col("doc_id") + F.col("side")) % 3 + 1).cast("int")))).alias("Strasse"),
         F.when(~is_(10), number).alias("HausNummer"),
-        F.when(is_(9, 13), none).when((kind == 7) & (F.col("doc_id") % 5 == 0), "").otherwise((F.ascii(F.substring("lang", 2, 1)) * 10 + 1000 + F.length("source") * 1000 + F.coalesce(number.try_cast("int"), F.lit(0)) * 100 + F.col("n") % 7).cast("string")).alias("Plz"),
+        F.when(is_(9, 13), none).when((kind == 7) & (F.col("doc_id") % 5 == 0) & ((F.col("side") == 1) | (F.floor(F.col("doc_id") / 24) % 2 == 0)), "").otherwise((F.ascii(F.substring("lang", 2, 1)) * 10 + 1000 + F.length("source") * 1000 + F.coalesce(number.try_cast("int"), F.lit(0)) * 100 + F.col("n") % 7).cast("string")).alias("Plz"),
         F.when(~is_(10), F.col("lang")).alias("Ort"),
         F.when(F.col("side") == 0, F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("C"), F.col("doc_id")))).when(F.col("doc_id") % 2 == 0, F.concat(F.lit("K"), F.col("doc_id"))).otherwise("").alias("Crefo"),
         F.when(undated, none).when(is_(14), F.concat(born, F.lit("-03-02"))).when(even, F.concat(F.lit("01.01."), born)).otherwise("").alias("Geburtstag"),
