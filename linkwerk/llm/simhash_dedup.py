@@ -69,7 +69,7 @@ LEVELS = 3
 _CHUNK = 1 << 16
 SIMILAR, WORDS = 0.8, 5
 KEYS, WIDE = 8, 44
-#: Texts, with their sets, in one tree, at most about.
+#: Texts, with their sets, in one tree of the first search, at most about; afterwards SHARD.
 TREE = 1024
 #: Rows of a table of nodes up to which it is broadcast (16 bytes each).
 FEW = 500_000
@@ -483,7 +483,7 @@ def first_rows(small: DataFrame, shard: int) -> DataFrame:
     return rows.join(_mixed(rows), "shard").withColumns({"tree": tree, "guest": F.lit(False)})
 
 
-def rest_rows(small: DataFrame, roots: DataFrame, shard: int, levels: int = LEVELS) -> DataFrame:
+def rest_rows(small: DataFrame, roots: DataFrame, shard: int, levels: int = 2) -> DataFrame:
     """Trees of all shards whose members are in different groups."""
     rows, out = _keyed(small, roots), []
     for level in range(levels):
@@ -512,16 +512,16 @@ def rest_rows(small: DataFrame, roots: DataFrame, shard: int, levels: int = LEVE
     return found
 
 
-def similar_groups(texts: DataFrame, shard: int = TREE) -> DataFrame:
+def similar_groups(texts: DataFrame, tree: int = TREE, shard: int = SHARD) -> DataFrame:
     """(node, root) of the nodes of (node, id, body) that have a similar one; root is the least of the group."""
     small = sh.cut(texts.mapInArrow(_sketches, "node long, keys array<long>, fp long, fp2 long, size long").dropDuplicates(["node"]).where("size > 0"))
     own = sh.cut(texts.select("node", "id").groupBy("node").agg(F.min("id").alias("id")))
-    found = sh.cut(_searched(texts, own, first_rows(small, shard)))
+    found = sh.cut(_searched(texts, own, first_rows(small, tree)))
     more = _searched(texts, own, rest_rows(small, components(found), shard))
     return components(found.unionByName(more))
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: int = TREE) -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", tree: int = TREE, shard: int = SHARD) -> DataFrame:
     """``df`` with one row of each group of near duplicates: that of the smallest id (nulls last).
 
     Rows equal in id and text are one document, of which any row stays.
@@ -530,7 +530,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shard: i
     name = sh.fresh("node", df.columns)
     node = F.xxhash64(F.when(body.rlike(r"[^\x20\x09-\x0D]"), body).otherwise(""))
     texts = df.select(node.alias("node"), F.col(id_col).cast("long").alias("id"), body.cast("binary").alias("body"))
-    roots = similar_groups(texts, shard)
+    roots = similar_groups(texts, tree, shard)
     own = texts.groupBy("node", "id").agg(F.count("*").alias("n"))
     own = sh.cut(own.join(roots, "node", "left").select("node", "id", "n", F.coalesce("root", "node").alias("root")))
     best = own.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "node")).alias("best"))

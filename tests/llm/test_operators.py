@@ -187,7 +187,7 @@ def test_keep_one_against_all_pairs(spark, shard):
     rng.shuffle(rows)
     sets = [simhash_dedup.shingle_set(t.encode()) for t in rows]
     want = _roots(list(range(len(rows))), lambda a, b: simhash_dedup.similar(sets[a], sets[b]))
-    kept = simhash_dedup.keep_one(frame(spark, rows), shard=shard)
+    kept = simhash_dedup.keep_one(frame(spark, rows), tree=shard, shard=shard)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
