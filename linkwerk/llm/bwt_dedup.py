@@ -250,7 +250,7 @@ def _asker(length: int, gram: int, n_buckets: int):
 
 
 def _narrower(length: int, grams: tuple[int, int], n_buckets: int):
-    """The second anchors of windows whose first one repeats; and, in a row of bucket -1, the part's spans of them."""
+    """The second anchors of windows whose first one repeats; and, in a row of a bucket below 0, the part's spans of them."""
 
     def ask(docs, replies):
         import pyarrow as pa
@@ -267,12 +267,24 @@ def _narrower(length: int, grams: tuple[int, int], n_buckets: int):
         asked = sh.requests(part, 1, sent, often, n_buckets)
         for k in _Spans.NAMES:
             asked = asked.append_column(k, pa.nulls(asked.num_rows, pa.binary()))
-        own = pa.Table.from_pylist([dict(bucket=-1, part=part, level=1, hashes=None, often=None, **dict(zip(_Spans.NAMES, spans.packed(), strict=True)))], schema=asked.schema)
+        own = pa.Table.from_pylist([dict(bucket=-1 - part, part=part, level=1, hashes=None, often=None, **dict(zip(_Spans.NAMES, spans.packed(), strict=True)))], schema=asked.schema)
         return pa.concat_tables([asked, own])
 
     return ask
 
 
+def _second_answers(table):
+    """Answers to a bucket's requests; spans go back to their part as they are."""
+    import pyarrow as pa
+
+    if table.column("bucket")[0].as_py() < 0:
+        return table.select(["part", "level", "bucket", *_Spans.NAMES]).add_column(3, "bits", pa.nulls(table.num_rows, pa.binary()))
+    out = sh.repeated(table)
+    for k in _Spans.NAMES:
+        out = out.append_column(k, pa.nulls(out.num_rows, pa.binary()))
+    return out
+
+
 def _sender(length: int, gram: int, n_buckets: int, n_piles: int):
     def send(docs, replies):
         import pyarrow as pa
@@ -283,7 +295,7 @@ def _sender(length: int, gram: int, n_buckets: int, n_piles: int):
         if not docs.num_rows:
             return pa.table({n: pa.array([], t) for n, t in zip(names, kinds_, strict=True)})
         data, _ = sh.bodies(sh.documents(docs)[0])
-        own = replies.filter(pa.compute.equal(replies.column("bucket"), -1)).to_pylist()[0]
+        own = replies.filter(pa.compute.less(replies.column("bucket"), 0)).to_pylist()[0]
         spans = _Spans(data, *(np.frombuffer(own[k], np.uint64 if k == "keys" else np.int64) for k in _Spans.NAMES))
         wanted = spans.wanted(length)
         sent, _, least = _anchored(spans.data, gram, length, wanted)
@@ -471,10 +483,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
     n_piles, key = sh.part_count(2 * n_bytes, sh.PART_BYTES), int.from_bytes(os.urandom(7))
     parts = sh.in_parts(df, id_col, text, sh.part_count(n_bytes, part_bytes), equal).groupBy("part")
     told = sh.answers(parts.applyInArrow(_asker(length, grams[0], n_buckets), sh.REQUEST))
-    asked = sh.cut(parts.cogroup(told.groupBy("part")).applyInArrow(_narrower(length, grams, n_buckets), f"{sh.REQUEST}, {', '.join(f'{k} binary' for k in _Spans.NAMES)}"))
-    none = F.lit(None).cast("binary")
-    again = sh.answers(asked.where("bucket >= 0").select("bucket", "part", "level", "hashes", "often"))
-    again = again.select("*", *(none.alias(k) for k in _Spans.NAMES)).unionByName(asked.where("bucket = -1").select("part", "level", "bucket", none.alias("bits"), *_Spans.NAMES))
+    spans, none = ", ".join(f"{k} binary" for k in _Spans.NAMES), F.lit(None).cast("binary")
+    asked = parts.cogroup(told.groupBy("part")).applyInArrow(_narrower(length, grams, n_buckets), f"{sh.REQUEST}, {spans}")
+    again = asked.groupBy("bucket").applyInArrow(_second_answers, f"{sh.REPLY}, {spans}")
     pieces = sh.cut(parts.cogroup(again.groupBy("part")).applyInArrow(_sender(length, grams[1], n_buckets, n_piles), PIECES))
     sent = pieces.where("bucket >= 0")
     large = sh.cut(sent.groupBy("bucket").agg(F.sum(F.octet_length("body")).alias("size")).where(F.col("size") > pile).select("bucket"))

@@ -195,7 +195,7 @@ def requests(part: int, level: int, hashes: np.ndarray, often: np.ndarray, n_buc
     )
 
 
-def _repeated(table):
+def repeated(table):
     """Answers every request of a bucket with a bit for each hash: it occurs twice or more in the corpus."""
     import pyarrow as pa
 
@@ -214,7 +214,7 @@ def _repeated(table):
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    return asked.groupBy("bucket").applyInArrow(_repeated, REPLY)
+    return asked.groupBy("bucket").applyInArrow(repeated, REPLY)
 
 
 def bits_of(replies, level: int, hashes: np.ndarray, n_buckets: int) -> np.ndarray:
