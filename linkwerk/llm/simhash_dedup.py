@@ -472,8 +472,8 @@ def _keyed(small: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """(shard, n): shards with members of different groups."""
-    return sh.cut(rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard", "n"))
+    """(shard, n): shards with members of different groups; few are broadcast, so that the rows stay where they are."""
+    return _few(rows.groupBy("shard").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("shard", "n"))
 
 
 def first_rows(small: DataFrame, shard: int) -> DataFrame:
