@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
@@ -30,6 +31,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that nothing refers to any more, such as those before a large cut.
+
+    Its cleaner waits for a collection of the driver's heap, which may be long in coming.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path for a table in the shared folder, new at each call."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
