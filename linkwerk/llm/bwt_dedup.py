@@ -487,6 +487,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", le
     asked = parts.cogroup(told.groupBy("part")).applyInArrow(_narrower(length, grams, n_buckets), f"{sh.REQUEST}, {spans}")
     again = asked.groupBy("bucket").applyInArrow(_second_answers, f"{sh.REPLY}, {spans}")
     pieces = sh.cut(parts.cogroup(again.groupBy("part")).applyInArrow(_sender(length, grams[1], n_buckets, n_piles), PIECES))
+    sh.tidy(df.sparkSession)  # the text is dealt once more at the end, so what was dealt for the pieces may go
     sent = pieces.where("bucket >= 0")
     large = sh.cut(sent.groupBy("bucket").agg(F.sum(F.octet_length("body")).alias("size")).where(F.col("size") > pile).select("bucket"))
     runs = sent.join(large, "bucket", "left_anti").repartition(n_piles, "bucket").groupBy("bucket").applyInArrow(_pile(length), RUNS)

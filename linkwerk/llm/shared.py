@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut, fresh, numbered, run_count  # noqa: F401
+from ..storage import cut, fresh, numbered, run_count, tidy  # noqa: F401
 
 #: Bytes of text in a part: a worker holds a few times as much.
 PART_BYTES = 4_000_000

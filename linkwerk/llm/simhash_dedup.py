@@ -517,6 +517,7 @@ def similar_groups(texts: DataFrame, tree: int = TREE, shard: int = SHARD) -> Da
     small = sh.cut(texts.mapInArrow(_sketches, "node long, keys array<long>, fp long, fp2 long, size long").dropDuplicates(["node"]).where("size > 0"))
     own = sh.cut(texts.select("node", "id").groupBy("node").agg(F.min("id").alias("id")))
     found = sh.cut(_searched(texts, own, first_rows(small, tree)))
+    sh.tidy(texts.sparkSession)
     more = _searched(texts, own, rest_rows(small, components(found), shard))
     return components(found.unionByName(more))
 
