@@ -13,6 +13,8 @@ a power of two that cover it.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
@@ -174,16 +176,29 @@ def digests(values: np.ndarray, length: int, key: int) -> np.ndarray:
 
 
 def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int) -> np.ndarray:
-    """Digest of the bytes of each word."""
+    """Digest of the bytes of each word: of long ones by BLAKE2, of others in stretches."""
     size, out = ends - starts, np.zeros(len(starts), np.uint64)
+    for k in np.flatnonzero(size > 15).tolist():
+        word = data[starts[k] : ends[k]].tobytes()
+        out[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=key.to_bytes(8, "little")).digest(), "little")
+    short, key = np.flatnonzero(size <= 15), np.uint64(key)
+    begin, size = starts[short], size[short]
     level = np.frexp(size.astype(float))[1] - 1  # of the largest block in the word
-    key = np.uint64(key)
-    h, have = mix(data.astype(np.uint64) + key), 1
-    for k in range(int(level.max(initial=-1)) + 1):
-        at = np.flatnonzero(level == k)
-        out[at] = mix(_joined(h[starts[at]], h[ends[at] - have], key) + size[at].astype(np.uint64))
-        h = _joined(h[:-have], h[have:], key)
-        have *= 2
+    i, got = 0, np.zeros(len(short), np.uint64)
+    while i < len(short):
+        lo = begin[i]
+        z = int(np.searchsorted(begin, lo + _STRETCH, "left"))
+        h, have = mix(data[lo : lo + _STRETCH + 16].astype(np.uint64) + key), 1
+        for k in range(4):
+            at = i + np.flatnonzero(level[i:z] == k)
+            first = begin[at] - lo
+            got[at] = mix(_joined(h[first], h[first + size[at] - have], key) + size[at].astype(np.uint64))
+            if len(h) <= have:
+                break
+            h = _joined(h[:-have], h[have:], key)
+            have *= 2
+        i = z
+    out[short] = got
     return out
 
 
