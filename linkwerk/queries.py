@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .functions import names
 from .functions.phonetics import cologne
-from .plans import blocking, matching, report
+from .plans import blocking, matching, report, tiles
 from .sources import records, sinks
+from .storage import cut
 
 #: Blocks stay whole, as in the SQL.
 SETTINGS = matching.Settings(fuzzy=0.7, confidence=60.0, chunk=None)
@@ -62,8 +63,9 @@ def all_matches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _similarity(spark: SparkSession, d: str) -> DataFrame:
-    pairs = matching.scored_pairs(_candidates(spark, d))
-    return _ids(pairs, *(F.round(c, 9).alias(c) for c in ("normal_score", "swapped_score", "best_score")), "is_swapped")
+    feats = cut(matching.features(_records(spark, d), SETTINGS).select("row_id", "block_key", "chunk_no", "year", "v", "n"))
+    pairs = tiles.within(feats, matching.BLOCK, ["row_id"], digits=9)
+    return _ids(pairs, "normal_score", "swapped_score", F.greatest("normal_score", "swapped_score").alias("best_score"), "is_swapped")
 
 
 def _unmatched(spark: SparkSession, d: str) -> DataFrame:

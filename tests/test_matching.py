@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from linkwerk import queries, storage
 from linkwerk.functions import names
 from linkwerk.functions.phonetics import cologne
-from linkwerk.functions.similarity import indel, indel_native, lcs, ratio, ratios
+from linkwerk.functions.similarity import indel, indel_native, lcs, ratio, ratio_table, ratios, rounded
 from linkwerk.operators import DuplicateChecker
-from linkwerk.plans import blocking, matching, report
+from linkwerk.plans import blocking, matching, report, tiles
 from linkwerk.sources import records, sinks
 
 from . import people
@@ -345,3 +345,69 @@ def test_shared_folder_must_be_set_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.shared_folder(Session)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _crowd(spark, n, blank=()):
+    """n rows of few names in one block, some with a blank code."""
+    draw = random.Random(5)
+    words = ["anna", "anne", "hanna", "", "x" * 70, "x" * 69 + "y", *("".join(draw.choices("abcde", k=draw.randint(1, 9))) for _ in range(12))]
+    rows = [people.row(k, draw.choice(words), draw.choice(words), plz="" if k in blank else "12345") for k in range(n)]
+    return people.frame(spark, rows)
+
+
+def test_ratio_table():
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcü\0", k=k)) for k in (0, 1, 2, 3, 5, 8, 13, 63, 64, 65, 90) for _ in range(4)]
+    table = ratio_table(words[:30], words[10:])
+    assert all(table[i, j] == ratio(a, b) for i, a in enumerate(words[:30]) for j, b in enumerate(words[10:]))
+    assert ratio_table([], ["a"]).shape == (0, 1) and ratio_table([""], ["a"])[0, 0] == 0
+
+
+def test_rounding_is_sparks(spark):
+    import numpy as np
+
+    values = [0.0009765625, 1 / 3, 2 / 3, 0.123456789499999, 0.0, 1.0, 0.1234567895]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(values)], "k int, x double")
+    assert rounded(np.array(values), 9).tolist() == [r[0] for r in df.orderBy("k").select(F.round("x", 9)).collect()]
+
+
+def test_tiles_hold_every_pair_once(spark, monkeypatch):
+    for name, size in (("BAND", 40), ("NARROW", 7), ("WIDE", 30), ("TASK", 500)):
+        monkeypatch.setattr(tiles, name, size)
+    df = matching._plain_features(_crowd(spark, 130, blank=range(0, 130, 6)))
+    rows = {r.row_id: (r.v, r.n, r.plz) for r in df.collect()}
+
+    def expected(fits, least):
+        out = {}
+        for i in rows:
+            for j in rows:
+                (v, n, p), (w, m, q) = rows[i], rows[j]
+                normal, swapped = (ratio(v, w) + ratio(n, m)) / 2, (ratio(v, m) + ratio(n, w)) / 2
+                if i < j and fits(p, q) and (least is None or max(normal, swapped) >= least):
+                    out[i, j] = (normal, swapped, swapped > normal)
+        return out
+
+    for least in (None, 0.7):
+        found = tiles.within(df, ["plz", "year"], ["row_id"], least).collect()
+        assert {(r[0], r[1]): tuple(r[2:]) for r in found} == expected(lambda p, q: p == q, least) and len(found) == len({r[:2] for r in found})
+        found = tiles.across(df.where("plz = ''"), df.where("plz <> ''"), ["year"], ["row_id"], least).collect()
+        assert {(r[0], r[1]): tuple(r[2:]) for r in found} == expected(lambda p, q: (p == "") != (q == ""), least) and len(found) == len({r[:2] for r in found})
+    assert tiles.within(df.limit(0), ["plz", "year"], ["row_id"]).count() == 0
+
+
+def test_repeated_ids_are_no_pair(spark):
+    df = matching._plain_features(_crowd(spark, 40)).withColumn("row_id", F.expr("row_id div 2"))
+    found = tiles.within(df, ["plz", "year"], ["row_id"])
+    assert found.count() == 40 * 39 // 2 - 20 and found.where("a_row_id >= b_row_id").count() == 0
+
+
+def test_name_similarity_compares_words_once(spark, tmp_path):
+    rows = [(k, "anna anne hanna otto", "de", "src1") for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = queries.queries()["name_similarity"](spark, str(tmp_path))
+    assert "MapInArrow" in _plan(df) and "ArrowEvalPython" not in _plan(df)
+    assert df.count() == matching._pairs(matching.features(queries._records(spark, str(tmp_path)), queries.SETTINGS), "block_key", "chunk_no").count() > 0
