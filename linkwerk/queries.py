@@ -119,7 +119,7 @@ def _unkeyed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _listing(spark: SparkSession, d: str) -> DataFrame:
-    recs = _records(spark, d)
+    recs = cut(_records(spark, d))  # once, for the matches and for both names
     return report.listing(matching.blocked_two_stage(recs, SETTINGS), recs).withColumn("confidence", F.round("confidence", 9))
 
 

@@ -415,6 +415,11 @@ def test_blocked_pairs_are_not_joined_before_they_are_compared(spark):
     assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
 
 
+def test_fuzzy_pairs_are_not_joined_before_they_are_compared(spark):
+    plan = _plan(matching.blocked_two_stage(_crowd(spark, 60), queries.SETTINGS))
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
 def test_name_similarity_compares_words_once(spark, tmp_path):
     rows = [(k, "anna anne hanna otto", "de", "src1") for k in range(60)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
