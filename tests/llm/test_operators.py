@@ -316,6 +316,18 @@ def test_bwt(spark, part_bytes, pile):
     assert bwt_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_bwt_sends_few_bytes(spark):
+    """Text goes through an exchange twice, with digests; passages that are counted need not go beside it."""
+    rng = random.Random(8)
+    passages = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=3000)) for _ in range(200)]
+    df = frame(spark, passages * 2)
+    sent = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = sent()
+    out = bwt_dedup.remove_repeats(df, with_text=False, part_bytes=100_000).collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in out] == [(3000, 3000, 1)] * 400
+    assert sent() - before < 3.5 * 400 * 3000
+
+
 def test_very_many_equal_rows(spark):
     from pyspark.sql import functions as F
 
